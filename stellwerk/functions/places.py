@@ -48,10 +48,14 @@ def reported_km(
     """Shortest distance an ad states, for itself or any location; null if none."""
     locations = F.col("stellenlokationen") if locations is None else locations
     stated = F.array(*[F.col(name).cast("double") for name in own])
-    for name in fixed.DISTANCE_FIELDS:
-        per_place = F.transform(locations, lambda loc, n=name: loc[n].cast("double"))
-        stated = F.concat(stated, F.coalesce(per_place, F.array().cast("array<double>")))
-    return F.bround(F.array_min(F.filter(stated, lambda km: km >= 0)), 1)
+    per_place = F.flatten(
+        F.transform(
+            locations,
+            lambda loc: F.array(*[loc[name].cast("double") for name in fixed.DISTANCE_FIELDS]),
+        )
+    )
+    every = F.concat(stated, F.coalesce(per_place, F.array().cast("array<double>")))
+    return F.bround(F.array_min(F.filter(every, lambda km: km >= 0)), 1)
 
 
 def location_label(locations: Column, detail_places: Column | None = None) -> Column:

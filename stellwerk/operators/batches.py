@@ -32,7 +32,7 @@ def count_or_idle(
     ``seq`` makes the order of equal times unique.  A gap of exactly ``idle_seconds``
     closes the batch.
     """
-    micros = F.unix_micros(ts)
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
     slot = F.floor(micros / (slot_seconds * 1_000_000))
     idle = idle_seconds * 1_000_000
 
@@ -98,7 +98,7 @@ def closed_batches(
         F.count(F.lit(1)).alias("rows"), F.max(ts).alias("_last")
     )
     newest = sizes.groupBy(key).agg(F.max("batch").alias("_newest"))
-    idle = F.unix_micros(as_of) - F.unix_micros("_last") >= idle_seconds * 1_000_000
+    idle = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("_last").cast("timestamp")) >= idle_seconds * 1_000_000
     return sizes.join(newest, key).select(
         key,
         "batch",

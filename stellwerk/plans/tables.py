@@ -256,7 +256,7 @@ def postings(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
     )
     return events.join(jobs, F.col("user_id") == F.col("c_custkey")).select(
         F.col("event_id").alias("seq"),
-        "ts",
+        F.col("ts").cast("timestamp").alias("ts"),
         F.col("ts").cast("date").alias("tag"),
         F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("referenznummer"),
         F.col("event_type").alias("quelle"),

@@ -161,14 +161,14 @@ def process(
     try:
         # Unfiltered and unchanged, before anything is decided.
         (
-            ads.drop("seq", "fp", "erfasst_am", "arrived")
-            .withColumns(
+            ads.withColumns(
                 {
-                    "jahr": F.date_format(ads["arrived"], "yyyy"),
-                    "monat": F.date_format(ads["arrived"], "MM"),
-                    "tag": F.date_format(ads["arrived"], "dd"),
+                    "jahr": F.date_format("arrived", "yyyy"),
+                    "monat": F.date_format("arrived", "MM"),
+                    "tag": F.date_format("arrived", "dd"),
                 }
             )
+            .drop("seq", "fp", "erfasst_am", "arrived")
             .write.mode("overwrite")
             .partitionBy("jahr", "monat", "tag")
             .parquet(folders.part("raw", batch_id))
