@@ -1,9 +1,10 @@
 """Catalogs: ordered lists of (category, label, pattern), and the search for labels in text.
 
 A catalog is small, caller supplied data that becomes part of the plan.  Labels whose
-pattern is a plain list of whole words - most of them - are found by splitting the text
-into words once and intersecting that set with the catalog's words; only the remaining
-patterns run as regular expressions.
+pattern is a list of whole words are found by splitting the text into words once and
+intersecting that set with the catalog's words.  Alternatives of plain text are searched
+as such.  Only the remaining patterns run as regular expressions, which are many times
+slower when a text does not match.
 """
 
 from __future__ import annotations
@@ -12,18 +13,19 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellwerk import schema
-from stellwerk.functions.text import CASELESS, words
+from stellwerk.functions.text import CASELESS, bound, words
 
 # A catalog travels inside the plan of every task; this is far above any sensible one.
 MAX_ENTRIES = 5_000
 
 _WHOLE_WORDS = re.compile(r"\\b\w+\\b(?:\|\\b\w+\\b)*")
+_PLAIN = re.compile(r"[\w -]+(?:\|[\w -]+)*")
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,13 @@ class Entry:
             return ()
         return tuple(part[2:-2].lower() for part in self.pattern.split("|"))
 
+    @cached_property
+    def plain_parts(self) -> tuple[str, ...]:
+        """The alternatives, if the pattern is only plain text (``one|other one``)."""
+        if not _PLAIN.fullmatch(self.pattern):
+            return ()
+        return tuple(part.lower() for part in self.pattern.split("|"))
+
 
 @dataclass(frozen=True)
 class Catalog:
@@ -93,26 +102,24 @@ class Catalog:
 def labels_in(text: Column, catalog: Catalog) -> Column:
     """Labels that occur in ``text``, once each, in catalog order."""
     text = F.coalesce(text, F.lit(""))
+    seen = [F.lower(text).alias("lowered")]
+    if catalog.all_words:
+        known = F.array(*[F.lit(w) for w in catalog.all_words])
+        seen.append(F.array_intersect(words(text), known).alias("words"))
 
-    def collect(found_words: Column | None) -> Column:
+    def collect(s: Column) -> Column:
         hits = []
         for e in catalog:
             if e in catalog.word_entries:
-                by_word = [F.array_contains(found_words, w) for w in catalog.word_entries[e]]
-                hit = by_word[0]
-                for other in by_word[1:]:
-                    hit = hit | other
+                tests = [F.array_contains(s["words"], w) for w in catalog.word_entries[e]]
+            elif e.plain_parts:
+                tests = [F.contains(s["lowered"], F.lit(part)) for part in e.plain_parts]
             else:
-                hit = text.rlike(CASELESS + e.pattern)
-            hits.append(F.when(hit, F.lit(e.label)))
+                tests = [text.rlike(CASELESS + e.pattern)]
+            hits.append(F.when(reduce(lambda a, b: a | b, tests), F.lit(e.label)))
         return F.array_compact(F.array(*hits))
 
-    if not catalog.all_words:
-        return collect(None)
-    known = F.array(*[F.lit(w) for w in catalog.all_words])
-    found = F.array_intersect(words(text), known)
-    # The one-element array binds the found words, so the text is split only once.
-    return F.transform(F.array(found), collect)[0]
+    return bound(F.struct(*seen), collect)
 
 
 def mentions_in(text: Column, catalog: Catalog) -> Column:

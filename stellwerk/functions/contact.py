@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stellwerk.functions.text import (
     CASED,
     CASELESS,
+    bound,
     filled,
     first_filled,
     join_filled,
@@ -39,7 +42,15 @@ PAY_GRADE = (
 
 def _found(text: Column, pattern: str, group: int = 0) -> Column:
     """First match, squeezed; null if none."""
-    return F.nullif(squeeze(F.regexp_extract(text, pattern, group)), F.lit(""))
+    return bound(
+        squeeze(F.regexp_extract(text, pattern, group)), lambda hit: F.when(hit != "", hit)
+    )
+
+
+def _if_any(lowered: Column, hints: tuple[str, ...], value: Column) -> Column:
+    """``value`` where one of the hints occurs, else null; the hints are cheap to look for."""
+    hinted = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(h)) for h in hints])
+    return F.when(hinted, value)
 
 
 def contact_block(*blocks: Column) -> Column:
@@ -51,8 +62,8 @@ def contact_person(block: Column | None, text: Column) -> Column:
     """Name from the contact fields, else from the text; '' if none."""
     text = F.coalesce(text, F.lit(""))
     found = [
-        _found(text, CASED + NAMED_CONTACT, 1),
-        _found(text, CASED + SALUTATION),
+        _if_any(text, ("Ansprechpartner",), _found(text, CASED + NAMED_CONTACT, 1)),
+        _if_any(text, ("Herr", "Frau"), _found(text, CASED + SALUTATION)),
     ]
     if block is not None:
         whole = join_filled(" ", *[block[f] for f in ("anrede", "titel", "vorname", "nachname")])
@@ -63,7 +74,7 @@ def contact_person(block: Column | None, text: Column) -> Column:
 def contact_address(block: Column | None, text: Column) -> Column:
     """'mail / phone', each from the fields, else from the text."""
     text = F.coalesce(text, F.lit(""))
-    mail = [F.when(text.contains("@"), _found(text, CASED + EMAIL))]
+    mail = [_if_any(text, ("@",), _found(text, CASED + EMAIL))]
     phone = [_found(text, CASED + PHONE)]
     if block is not None:
         mail = [filled(block["email"]), filled(block["mail"]), *mail]
@@ -80,8 +91,17 @@ def contact(block: Column | None, text: Column) -> Column:
 def pay_from_text(text: Column) -> Column:
     """A range, else an amount, else a pay grade; '' if none."""
     text = F.coalesce(text, F.lit(""))
-    patterns = (PAY_RANGE, PAY_AMOUNT, PAY_GRADE)
-    return F.coalesce(*[_found(text, CASELESS + p) for p in patterns], F.lit(""))
+    money, group = ("€", "eur"), ("tv", "entgeltgruppe", "eg")
+
+    def read(lowered: Column) -> Column:
+        return F.coalesce(
+            _if_any(lowered, money, _found(text, CASELESS + PAY_RANGE)),
+            _if_any(lowered, money, _found(text, CASELESS + PAY_AMOUNT)),
+            _if_any(lowered, group, _found(text, CASELESS + PAY_GRADE)),
+            F.lit(""),
+        )
+
+    return bound(F.lower(text), read)
 
 
 def pay(stated: Column, tariff_detail: Column, tariff_own: Column, text: Column) -> Column:

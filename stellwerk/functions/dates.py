@@ -6,35 +6,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stellwerk import fixed
-from stellwerk.functions.text import filled, strip
+from stellwerk.functions.text import bound, filled, strip
 
 _RFC = r"^[A-Za-z]{3}, (\d{1,2} [A-Za-z]{3} \d{4}) \d{1,2}:\d{2}:\d{2} [+-]\d{2}:?\d{2}$"
 
 
-def iso_date(value: Column) -> Column:
-    """Date of an ISO date or timestamp, as written (no zone shift); null if invalid."""
-    text = strip(value)
+def _iso(text: Column) -> Column:
     valid = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ].+)?$") & text.try_cast("timestamp").isNotNull()
     return F.when(valid, F.substring(text, 1, 10).try_cast("date"))
 
 
-def any_date(value: Column) -> Column:
-    """Date from epoch seconds, ISO, dd.MM.yyyy or mail-header form; null if none fits.
+def iso_date(value: Column) -> Column:
+    """Date of an ISO date or timestamp, as written (no zone shift); null if invalid."""
+    return bound(strip(value), _iso)
 
-    Pass raw JSON scalars as strings; numbers and digit strings are epoch seconds.
-    """
-    text = strip(value)
+
+def _any(text: Column) -> Column:
     epoch = F.when(text.rlike(r"^\d+(\.\d+)?$"), text.try_cast("double"))
     german = F.when(text.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"), text)
     mail = F.nullif(F.regexp_extract(text, _RFC, 1), F.lit(""))
     return F.coalesce(
         F.when(epoch > 0, F.timestamp_seconds(epoch).cast("date")),
-        iso_date(text),
+        _iso(text),
         F.try_to_timestamp(german, F.lit("d.M.yyyy")).cast("date"),
         F.try_to_timestamp(mail, F.lit("d MMM yyyy")).cast("date"),
     )
 
 
+def any_date(value: Column) -> Column:
+    """Date from epoch seconds, ISO, dd.MM.yyyy or mail-header form; null if none fits.
+
+    Pass raw JSON scalars as strings; numbers and digit strings are epoch seconds.
+    """
+    return bound(strip(value), _any)
+
+
 def any_date_text(value: Column) -> Column:
     """:func:`any_date` as yyyy-MM-dd, '' if none fits."""
     return F.coalesce(any_date(value).cast("string"), F.lit(""))

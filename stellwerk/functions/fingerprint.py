@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stellwerk import fixed
-from stellwerk.functions.text import employer_form, filled, place_form, title_form
+from stellwerk.functions.text import bound, employer_form, filled, place_form, title_form
 
 
 def first_place(locations: Column | str = "stellenlokationen") -> Column:
@@ -32,8 +32,7 @@ def content_fingerprint(employer: Column, title: Column, place: Column) -> Colum
         whole = (p["employer"] != "") & (p["title"] != "")
         return F.when(whole, F.substring(F.sha2(text, 256), 1, fixed.FINGERPRINT_HEX))
 
-    # The one-element array binds the three parts, so each is computed once.
-    return F.transform(F.array(parts), digest)[0]
+    return bound(parts, digest)
 
 
 def ad_fingerprint() -> Column:

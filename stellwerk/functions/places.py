@@ -6,20 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stellwerk import fixed
-from stellwerk.functions.text import CASED, filled, strip
+from stellwerk.functions.text import CASED, bound, filled, strip
 
 _CODE_AND_PLACE = CASED + r"^\s*(\d{4,5})\s+(.*\S)\s*$"
 
 
 def place_struct(text: Column) -> Column:
     """'20095 Hamburg, DE' as {adresse: {plz, ort}}; null for a blank place."""
-    head = strip(F.substring_index(text, ",", 1))
-    coded = F.regexp_extract(head, _CODE_AND_PLACE, 2)
-    place = F.when(coded != "", coded).otherwise(head)
-    address = F.struct(
-        F.regexp_extract(head, _CODE_AND_PLACE, 1).alias("plz"), place.alias("ort")
-    )
-    return F.when(place != "", F.struct(address.alias("adresse")))
+
+    def address(head: Column) -> Column:
+        coded = F.regexp_extract(head, _CODE_AND_PLACE, 2)
+        place = F.when(coded != "", coded).otherwise(head)
+        code = F.regexp_extract(head, _CODE_AND_PLACE, 1)
+        parts = F.struct(code.alias("plz"), place.alias("ort"))
+        return F.when(head != "", F.struct(parts.alias("adresse")))
+
+    return bound(strip(F.substring_index(text, ",", 1)), address)
 
 
 def place_structs(texts: Column) -> Column:

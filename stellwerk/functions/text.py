@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +13,12 @@ from stellwerk import fixed
 CASELESS = "(?iU)"
 CASED = "(?U)"
 
+# All white space characters, for trimming without a regex.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 _SLASH = r"\s*[/|]\s*"
 GENDER = (
     r"[\(\[]?\s*(?:"
@@ -30,9 +36,14 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` applied to ``value``, which is computed once however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(value: Column | str) -> Column:
     """Without surrounding white space; null becomes ''."""
-    return F.coalesce(F.regexp_replace(_col(value), CASED + r"^\s+|\s+$", ""), F.lit(""))
+    return F.coalesce(F.trim(_col(value), F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def filled(value: Column | str) -> Column:

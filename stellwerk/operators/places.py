@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stellwerk import fixed
 from stellwerk.functions.fingerprint import first_place
 from stellwerk.functions.places import distance_km, reported_km
-from stellwerk.functions.text import map_place_form
+from stellwerk.functions.text import bound, map_place_form
 
 # Up to this many cities the table becomes part of the plan and no join is needed.
 PLAN_CITIES = 2_000
@@ -45,8 +45,9 @@ def locate(place: Column, cities: list[tuple[int, str, float, float]]) -> Column
         hit = F.coalesce(F.get(exact, F.lit(0)), F.get(near, F.lit(0)))
         return F.when(name != "", F.struct(hit["lat"].alias("lat"), hit["lon"].alias("lon")))
 
-    found = F.transform(F.array(map_place_form(place)), find)[0]
-    return F.when(found["lat"].isNotNull(), found)
+    return bound(
+        bound(map_place_form(place), find), lambda hit: F.when(hit["lat"].isNotNull(), hit)
+    )
 
 
 def located(rows: DataFrame, place: str, cities: DataFrame) -> DataFrame:

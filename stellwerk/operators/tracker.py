@@ -102,6 +102,7 @@ def merge(
         elif name in automatic or overwrite:
             cell = F.coalesce(value, old)
         elif existing.schema[name].dataType.typeName() == "string":
+            # A blank cell stays as it is unless there is something to put in.
             cell = F.coalesce(F.nullif(old, F.lit("")), value, old)
         else:
             cell = F.coalesce(old, value)

@@ -452,8 +452,7 @@ merged AS (
         coalesce(f.firma, o.firma) AS "Firma", coalesce(f.titel, o.titel) AS "Position",
         coalesce(f.link, o.link) AS "Link zur Ausschreibung",
         coalesce(f.standort, o.standort) AS "Standort",
-        coalesce(nullif(o.gehalt, ''), f.gehalt,
-            CASE WHEN o.row_no IS NOT NULL AND f.place IS NULL THEN o.gehalt END) AS "Gehalt",
+        coalesce(nullif(o.gehalt, ''), f.gehalt, o.gehalt) AS "Gehalt",
         CASE WHEN f.place IS NOT NULL THEN f.status ELSE o.status END AS "Status",
         coalesce(f.km, o.km) AS "Entfernung (km)", o.eigenes AS "Eigenes",
         CASE WHEN o.row_no IS NULL THEN 'neu' WHEN f.place IS NOT NULL THEN 'aktualisiert' END

@@ -50,6 +50,7 @@ from stellwerk.plans.tables import (
     ads,
     postings,
     table,
+    texts,
     title_of,
 )
 from stellwerk.session import fresh_path, tuned
@@ -158,19 +159,19 @@ def order_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def trend_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = labelled(spark, sf_dir)
-    return trend.with_share(trend.demand(found), ads(spark, sf_dir))
+    return trend.with_share(trend.demand(found), found)
 
 
 @query
 def trend_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = labelled(spark, sf_dir)
-    return trend.with_share(trend.top(trend.gaps(found, PROFILE)), ads(spark, sf_dir))
+    return trend.with_share(trend.top(trend.gaps(found, PROFILE)), found)
 
 
 @query
 def trend_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = labelled(spark, sf_dir)
-    return trend.with_share(trend.top(trend.covered(found, PROFILE)), ads(spark, sf_dir))
+    return trend.with_share(trend.top(trend.covered(found, PROFILE)), found)
 
 
 @query
@@ -190,12 +191,12 @@ def trend_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unknown_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trend.unknown_terms(table(spark, sf_dir, "documents"), F.col("text"), CATALOG)
+    return trend.unknown_terms(texts(spark, sf_dir, "documents"), F.col("text"), CATALOG)
 
 
 @query
 def report_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = trend.unknown_terms(table(spark, sf_dir, "documents"), F.col("text"), CATALOG)
+    counts = trend.unknown_terms(texts(spark, sf_dir, "documents"), F.col("text"), CATALOG)
     return trend.report_terms(counts)
 
 
@@ -203,7 +204,7 @@ def report_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.corpus_mentions(table(spark, sf_dir, "documents"), CATALOG, "text")
+    return profile.corpus_mentions(texts(spark, sf_dir, "documents"), CATALOG, "text")
 
 
 def _previous_profile(spark: SparkSession) -> DataFrame:
@@ -237,7 +238,7 @@ def profile_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.silent_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return profile.silent_documents(texts(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 # --- score ---------------------------------------------------------------------
@@ -436,14 +437,14 @@ def _doc_ref() -> Column:
 
 def _known_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Details fetched so far: those of labelled documents, some of them withdrawn."""
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.when(F.col("toxic") == 0, F.col("text")).alias("stellenangebotsBeschreibung")
-    return table(spark, sf_dir, "labels").join(texts, "doc_id").select(_doc_ref(), text)
+    return table(spark, sf_dir, "labels").join(documents, "doc_id").select(_doc_ref(), text)
 
 
 @query
 def detail_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fetched = table(spark, sf_dir, "documents").select(
+    fetched = texts(spark, sf_dir, "documents").select(
         _doc_ref(), F.lower("text").alias("stellenangebotsBeschreibung")
     )
     full = details.add_details(_known_details(spark, sf_dir), fetched)
@@ -460,7 +461,7 @@ def missing_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
+    return texts(spark, sf_dir, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
 @query
@@ -490,7 +491,7 @@ def contact_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def document_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         "doc_id", contact(None, F.col("text")).alias("contact")
     )
 
@@ -653,8 +654,7 @@ def _posting_messages(posted: DataFrame) -> DataFrame:
 
 @query
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = messages.decode(_posting_messages(postings(spark, sf_dir)))
-    return decoded.select("key", "offset", "ad.*").select(
+    return messages.decode(_posting_messages(postings(spark, sf_dir))).select(
         F.col("offset").alias("seq"),
         F.col("key").alias("referenznummer"),
         "stellenangebotsTitel",
@@ -662,15 +662,19 @@ def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events file as a stream, dealt out if it has fewer files than there are cores."""
+    events = table(spark, sf_dir, "events")
+    reader = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    stream = reader.parquet(sf_dir)
+    return stream.repartition(cores) if len(events.inputFiles()) < cores else stream
+
+
 @query
 def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file as a stream of raw messages through the intake job."""
-    events = table(spark, sf_dir, "events")
-    source = (
-        spark.readStream.schema(events.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    source = _event_stream(spark, sf_dir)
     folders = intake.Folders(fresh_path(spark, "intake"))
     stream = _posting_messages(postings(spark, sf_dir, source))
     run = intake.start(stream, folders, intake.Rules(), available_now=True)
@@ -684,11 +688,7 @@ def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file as a stream of ads to digest, one recipient per event type."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    source = (
-        spark.readStream.schema(events.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    source = _event_stream(spark, sf_dir).select(*events.columns)
     folders = digests.Folders(fresh_path(spark, "digests"))
     keys = {"key": "event_type", "ts": "ts", "seq": "event_id"}
     run = digests.start(source, folders, idle_seconds=IDLE_SECONDS, available_now=True, **keys)

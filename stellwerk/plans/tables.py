@@ -67,6 +67,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are expensive to work on.
+
+    A scan gives one task per part of a file.  Where there are fewer files than cores the
+    rows are dealt out first; a large table has files enough and is never shuffled here.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def _case(value: Column, texts: dict[object, str | Column], default: str = "") -> Column:
     result = F.lit(default)
     for key, text in texts.items():
@@ -175,7 +186,8 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(parts, F.col("o_orderkey") == F.col("p_partkey"))
     )
-    rows = documents.join(facts, F.col("doc_id") == F.col("o_orderkey"))
+    # Never broadcast the texts: the side they are joined to would do all work on them.
+    rows = documents.join(facts.hint("merge"), F.col("doc_id") == F.col("o_orderkey"))
     doc = F.col("doc_id").cast("string")
     size = F.col("p_size")
     none = F.lit(None)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stellwerk import schema
 
@@ -76,14 +77,26 @@ def consume(
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Add the struct ``ad``; a broken message gives null, both URL spellings are read."""
-    ad = F.from_json(value, schema.AD)
-    older = F.get_json_object(value, "$.externeUrl")
-    return messages.withColumn("ad", ad).withColumn(
-        "ad",
-        F.when(
-            F.col("ad").isNotNull(),
-            F.col("ad").withField("externeURL", F.coalesce(F.col("ad.externeURL"), older)),
-        ),
-    )
+    """Replace the message body by the ad's columns and ``broken``.
 
+    A body that is no JSON object is marked broken, with all ad columns null.  Both
+    spellings of the external address are read.
+    """
+    layout = T.StructType.fromDDL(schema.AD)
+    whole = T.StructType([*layout.fields, T.StructField("_broken", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    parsed = messages.withColumn("_ad", F.from_json(value, whole, options))
+    # A second look at the text is needed only where the older spelling occurs.
+    older = F.when(
+        F.contains(F.col(value), F.lit("externeUrl")), F.get_json_object(value, "$.externeUrl")
+    )
+    ad = F.col("_ad")
+    columns = {
+        f.name: F.coalesce(ad[f.name], older) if f.name == "externeURL" else ad[f.name]
+        for f in layout
+    }
+    broken = ad.isNull() | ad["_broken"].isNotNull()
+    others = [c for c in messages.columns if c != value]
+    return parsed.select(
+        *others, *[c.alias(name) for name, c in columns.items()], broken.alias("broken")
+    )

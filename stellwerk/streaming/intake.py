@@ -36,9 +36,6 @@ from stellwerk.operators.dedup import outcomes
 from stellwerk.operators.details import lacks_text, with_detail
 from stellwerk.sources.messages import decode
 
-BUCKETS = 256
-
-
 @dataclass(frozen=True)
 class Rules:
     """What is filtered and how ads are rated.  Without a profile nothing is rated."""
@@ -59,9 +56,14 @@ class Rules:
 
 @dataclass(frozen=True)
 class Folders:
-    """Where the stream keeps its tables; all below one shared root."""
+    """Where the stream keeps its tables; all below one shared root.
+
+    ``buckets`` is the number of parts of the claim tables.  It stays the same for the
+    life of the tables; a bucket should be small enough to be read for a few keys.
+    """
 
     root: str
+    buckets: int = 32
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -70,8 +72,8 @@ class Folders:
         return f"{self.table(name)}/batch_id={batch_id}"
 
 
-def bucket_of(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    def bucket_of(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
 
 def read_table(spark: SparkSession, path: str, ddl: str | T.StructType) -> DataFrame:
@@ -89,11 +91,12 @@ CLAIM_TABLE = schema.CLAIM + ", batch_id BIGINT, bucket INT"
 
 
 def _known(
-    table: DataFrame, incoming: DataFrame, key: str, batch_id: int
+    table: DataFrame, incoming: DataFrame, key: str, batch_id: int, folders: Folders
 ) -> DataFrame:
     """Keys of the batch that an earlier batch claimed."""
     earlier = table.filter(F.col("batch_id") != batch_id).select(key, "bucket")
-    keys = incoming.select(key).dropna().distinct().withColumn("bucket", bucket_of(F.col(key)))
+    keys = incoming.select(key).dropna().distinct()
+    keys = keys.withColumn("bucket", folders.bucket_of(F.col(key)))
     return keys.join(earlier, [key, "bucket"], "left_semi").select(key)
 
 
@@ -148,27 +151,35 @@ def process(
 ) -> None:
     """One micro-batch.  ``messages`` has the message columns; time is message time."""
     spark = messages.sparkSession
-    decoded = decode(messages.filter(F.length("key") > 0)).filter(F.col("ad").isNotNull())
+    keyed = messages.filter(F.length("key") > 0)
     # Position in the batch: partitions one after the other, each in its own order.
-    seq = (F.shiftleft(F.col("partition").cast("long"), 44) + F.col("offset")).alias("seq")
-    arrived = F.unix_timestamp("timestamp").alias("erfasst_am")
-    ads = decoded.select(
-        "ad.*", F.col("key").alias("_key"), seq, arrived, F.col("timestamp").alias("arrived")
-    )
+    seq = F.shiftleft(F.col("partition").cast("long"), 44) + F.col("offset")
     # The message key is the reference, whatever the body says.
-    ads = ads.withColumn("referenznummer", F.col("_key")).drop("_key")
-    ads = ads.withColumn("fp", claim_key(ad_fingerprint())).persist()
+    decoded = (
+        decode(keyed.withColumn("body", F.col("value")))
+        .withColumn("referenznummer", F.col("key"))
+        .withColumn("seq", seq)
+        .withColumn("fp", claim_key(ad_fingerprint()))
+        .withColumn("erfasst_am", F.unix_timestamp("timestamp"))
+        .persist()
+    )
+    helpers = ("key", "partition", "offset", "timestamp", "body", "broken", "seq", "fp", "erfasst_am")
     try:
+        # What is no JSON object is put aside, not lost and not in the way.
+        decoded.filter("broken").select("key", "body", "partition", "offset").write.mode(
+            "overwrite"
+        ).parquet(folders.part("broken", batch_id))
+        ads = decoded.filter("not broken").drop("body", "broken")
         # Unfiltered and unchanged, before anything is decided.
         (
             ads.withColumns(
                 {
-                    "jahr": F.date_format("arrived", "yyyy"),
-                    "monat": F.date_format("arrived", "MM"),
-                    "tag": F.date_format("arrived", "dd"),
+                    "jahr": F.date_format("timestamp", "yyyy"),
+                    "monat": F.date_format("timestamp", "MM"),
+                    "tag": F.date_format("timestamp", "dd"),
                 }
             )
-            .drop("seq", "fp", "erfasst_am", "arrived")
+            .drop(*helpers)
             .write.mode("overwrite")
             .partitionBy("jahr", "monat", "tag")
             .parquet(folders.part("raw", batch_id))
@@ -181,15 +192,15 @@ def process(
         result = judged(
             ads,
             rules,
-            _known(seen, ads, "referenznummer", batch_id),
-            _known(claims, ads, "fp", batch_id),
+            _known(seen, ads, "referenznummer", batch_id, folders),
+            _known(claims, ads, "fp", batch_id, folders),
         ).persist()
         try:
             _write_batch(result, batch_id, folders, rules, detail)
         finally:
             result.unpersist()
     finally:
-        ads.unpersist()
+        decoded.unpersist()
 
 
 def _write_batch(
@@ -201,7 +212,7 @@ def _write_batch(
         result.filter(F.col("outcome") == fixed.FORWARDED),
         rules,
         detail,
-        F.col("arrived").cast("date"),
+        F.col("timestamp").cast("date"),
     )
     forwarded.write.mode("overwrite").parquet(folders.part("matched", batch_id))
     (
@@ -216,7 +227,7 @@ def _write_batch(
         "erfasst_am",
         F.lit(None).cast("long").alias("geaendert_am"),
         ends.alias("ablauf_zeitpunkt"),
-        bucket_of(F.col("referenznummer")).alias("bucket"),
+        folders.bucket_of(F.col("referenznummer")).alias("bucket"),
     )
     claims = fresh.filter(
         F.col("fp").isNotNull() & (F.col("outcome") != fixed.DUPLICATE)
@@ -225,10 +236,16 @@ def _write_batch(
         F.col("referenznummer").alias("zuerst_gesehen_als"),
         "erfasst_am",
         ends.alias("ablauf_zeitpunkt"),
-        bucket_of(F.col("fp")).alias("bucket"),
+        folders.bucket_of(F.col("fp")).alias("bucket"),
     )
     for name, rows in (("seen", seen), ("claims", claims)):
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(folders.part(name, batch_id))
+        # One file per bucket; keys are unique here, so buckets are of even size.
+        (
+            rows.repartition("bucket")
+            .write.mode("overwrite")
+            .partitionBy("bucket")
+            .parquet(folders.part(name, batch_id))
+        )
 
 
 def start(
