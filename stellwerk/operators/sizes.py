@@ -48,6 +48,6 @@ def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     number = F.col("_before") + F.col("_id") % per_partition + 1
     return (
         placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, number.cast("int"))
+        .withColumn(name, number.cast("long"))
         .drop("_id", "_part", "_before")
     )

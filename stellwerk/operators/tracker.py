@@ -180,7 +180,8 @@ def table_order(df: DataFrame, tail: Sequence[Column]) -> list[Column]:
 
 def ranked(df: DataFrame, tail: Sequence[Column]) -> DataFrame:
     """The table in its order, numbered from 1 in 'Nr.'."""
-    return number_rows(df.drop("Nr."), table_order(df, tail), "Nr.")
+    numbered = number_rows(df.drop("Nr."), table_order(df, tail), "Nr.")
+    return numbered.withColumn("Nr.", _c("Nr.").cast("int"))
 
 
 def evolved_columns(
