@@ -73,7 +73,7 @@ def days_since(epoch: Column, as_of_epoch: Column) -> Column:
 def partition_day(year: Column, month: Column, day: Column) -> Column:
     """Day of an archive partition; null for a malformed one."""
     return F.try_to_timestamp(
-        F.format_string("%d-%d-%d", year.cast("int"), month.cast("int"), day.cast("int")),
+        F.format_string("%d-%d-%d", *[part.try_cast("int") for part in (year, month, day)]),
         F.lit("y-M-d"),
     ).cast("date")
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stellwerk import fixed
@@ -19,11 +18,8 @@ from stellwerk.streaming.intake import Folders, read_table
 
 
 def _open_rows(spark: SparkSession, folders: Folders, batch_id: int, like: DataFrame) -> DataFrame:
-    """Rows the last batch before this one left open."""
-    layout = T.StructType([*like.schema.fields, T.StructField("batch_id", T.LongType())])
-    kept = read_table(spark, folders.table("open"), layout).filter(F.col("batch_id") < batch_id)
-    newest = kept.agg(F.max("batch_id")).scalar()
-    return kept.filter(F.col("batch_id") == newest).drop("batch_id")
+    """Rows that batch left open; batch numbers are consecutive."""
+    return read_table(spark, folders.part("open", batch_id), like.schema)
 
 
 def process(
@@ -39,7 +35,7 @@ def process(
 ) -> None:
     """One micro-batch; ``as_of`` is the time against which idleness is measured."""
     spark = rows.sparkSession
-    waiting = rows.unionByName(_open_rows(spark, folders, batch_id, rows))
+    waiting = rows.unionByName(_open_rows(spark, folders, batch_id - 1, rows))
     batched = count_or_idle(waiting, key, ts, seq, max_rows, idle_seconds).persist()
     try:
         state = closed_batches(batched, key, ts, as_of, max_rows, idle_seconds)
@@ -58,6 +54,8 @@ def process(
         )
     finally:
         batched.unpersist()
+    done = spark.range(1).select(F.lit(batch_id).cast("long").alias("done"))
+    done.write.mode("overwrite").parquet(folders.part("done", batch_id))
 
 
 def start(
@@ -110,5 +108,7 @@ def flush(
     idle_seconds: int = fixed.DIGEST_IDLE_SECONDS,
 ) -> DataFrame:
     """What is still open when the stream stops, as last batches."""
-    open_rows = _open_rows(spark, folders, 1 << 62, like)
+    done = read_table(spark, folders.table("done"), "done BIGINT, batch_id BIGINT")
+    newest = done.agg(F.max("done").alias("done")).first().done
+    open_rows = like.limit(0) if newest is None else _open_rows(spark, folders, newest, like)
     return count_or_idle(open_rows, key, ts, seq, max_rows, idle_seconds)
