@@ -15,22 +15,19 @@ PLAN_CITIES = 2_000
 
 
 def city_rows(cities: DataFrame) -> list[tuple[int, str, float, float]] | None:
-    """The city table as plan constants, None if it is too large for that."""
-    rows = cities.select("pos", "name", "lat", "lon").limit(PLAN_CITIES + 1).collect()
+    """The city table as plan constants, names in normal form; None if it is too large."""
+    named = cities.select("pos", map_place_form(F.col("name")).alias("name"), "lat", "lon")
+    rows = named.limit(PLAN_CITIES + 1).collect()
     return None if len(rows) > PLAN_CITIES else [tuple(r) for r in sorted(rows)]
 
 
 def locate(place: Column, cities: list[tuple[int, str, float, float]]) -> Column:
     """struct<lat, lon> of a place: its exact name, else the first city that extends the
-    name by a word or that the name extends; null if unknown.  Both sides are compared in
-    the same normal form."""
+    name by a word or that the name extends; null if unknown.  The city names are in
+    normal form, as :func:`city_rows` gives them."""
     table = F.array(
         *[
-            F.struct(
-                map_place_form(F.lit(name)).alias("name"),
-                F.lit(lat).alias("lat"),
-                F.lit(lon).alias("lon"),
-            )
+            F.struct(F.lit(name).alias("name"), F.lit(lat).alias("lat"), F.lit(lon).alias("lon"))
             for _, name, lat, lon in cities
         ]
     )

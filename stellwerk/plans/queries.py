@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stellwerk import fixed, schema
 from stellwerk.functions.ad import ad_link, description, employer_name, requirement_text, source_name
@@ -411,21 +412,20 @@ def nearest_day_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- details -------------------------------------------------------------------
 
 
-def _stored_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_ads(every: DataFrame) -> DataFrame:
     """Ads as archived: the agency's carry no text."""
     text = F.when(F.col("quelle") != fixed.AGENCY, F.col("stellenangebotsBeschreibung"))
-    return ads(spark, sf_dir).withColumn("stellenangebotsBeschreibung", text)
+    return every.withColumn("stellenangebotsBeschreibung", text)
 
 
-def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _detail(every: DataFrame) -> DataFrame:
     """Detail views of the agency's ads."""
-    agency = ads(spark, sf_dir).filter(F.col("quelle") == fixed.AGENCY)
+    agency = every.filter(F.col("quelle") == fixed.AGENCY)
     given = {"referenznummer", "stellenangebotsBeschreibung", "externeURL"}
-    empty = spark.createDataFrame([], schema.DETAIL)
     return agency.select(
         *[
             F.col(f.name) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in empty.schema
+            for f in T.StructType.fromDDL(schema.DETAIL)
         ]
     )
 
@@ -452,7 +452,8 @@ def detail_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def missing_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return details.missing_details(_stored_ads(spark, sf_dir), _known_details(spark, sf_dir))
+    stored = _stored_ads(ads(spark, sf_dir))
+    return details.missing_details(stored, _known_details(spark, sf_dir))
 
 
 # --- text extraction -----------------------------------------------------------
@@ -786,36 +787,35 @@ def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- tracker table -------------------------------------------------------------
 
 
-def _gathered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored_ads(spark, sf_dir)
+def _gathered(every: DataFrame) -> DataFrame:
     # Found up to one day off the archive day, as around midnight.
     found = F.unix_timestamp(F.date_add("tag", (F.col("doc_id") % 3 - 1).cast("int")).cast("timestamp"))
-    seen = ads(spark, sf_dir).select(
+    seen = every.select(
         "referenznummer",
         F.col("stellenangebotsTitel").alias("titel"),
         F.when(F.col("o_orderstatus") == "F", fixed.REJECTED).otherwise(fixed.FOUND).alias("status"),
         found.alias("erfasst_am"),
     )
-    return rows.gathered(seen, stored, _detail(spark, sf_dir))
+    return rows.gathered(seen, _stored_ads(every), _detail(every))
 
 
 @query
 def tracker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = rows.tracker_rows(
-        _gathered(spark, sf_dir), _cities(spark, sf_dir), F.lit(ADS_AS_OF), PROFILE, CATALOG,
+    return rows.tracker_rows(
+        _gathered(ads(spark, sf_dir)), _cities(spark, sf_dir), F.lit(ADS_AS_OF), PROFILE, CATALOG,
         "NATION_0",
     )
-    return built
 
 
 @query
 def decision_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = ads(spark, sf_dir).select("doc_id", "referenznummer", claim_key(ad_fingerprint()).alias("fp"))
+    every = ads(spark, sf_dir)
+    keyed = every.select("doc_id", "referenznummer", claim_key(ad_fingerprint()).alias("fp"))
     claims = (
         dedup.first_per_key(keyed.dropna(subset=["fp"]), ["fp"], "doc_id")
         .select("fp", F.col("referenznummer").alias("zuerst_gesehen_als"))
     )
-    return rows.decision_trace(_gathered(spark, sf_dir), claims, PROFILE, CATALOG)
+    return rows.decision_trace(_gathered(every), claims, PROFILE, CATALOG)
 
 
 def _new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

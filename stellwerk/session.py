@@ -32,6 +32,8 @@ def local_session(cpus: int | str = "*", memory: str = "16g", partitions: int =
         .appName("stellwerk")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Plans here are built from many small columns; do not record where each was made.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
