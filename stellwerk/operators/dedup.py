@@ -29,7 +29,10 @@ def last_per_key(rows: DataFrame, key: list[str], order: str) -> DataFrame:
 
 
 def new_keys(rows: DataFrame, claims: DataFrame, key: str) -> DataFrame:
-    """Rows whose key nobody has claimed (insert if absent)."""
+    """Rows whose key nobody has claimed (insert if absent).
+
+    Claims are made distinct first, which merges a frequent key before it is shuffled.
+    """
     return rows.join(claims.select(key).distinct(), key, "left_anti")
 
 

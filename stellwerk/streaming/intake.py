@@ -6,9 +6,8 @@ write of a batch goes to a folder named after the batch and replaces it, and cla
 the batch itself are not read, so a batch that is run again after a failure gives the
 same result.
 
-Claims are laid out in buckets of their key.  The join with the incoming keys includes
-the bucket, so that a small batch reads only the buckets it can hit (dynamic partition
-pruning), while a large one reads the table once for many rows.
+Claims are laid out in buckets of their key: a small batch reads only the buckets it can
+hit, while a large one reads the table once for many rows.
 """
 
 from __future__ import annotations
@@ -93,11 +92,16 @@ CLAIM_TABLE = schema.CLAIM + ", batch_id BIGINT, bucket INT"
 def _known(
     table: DataFrame, incoming: DataFrame, key: str, batch_id: int, folders: Folders
 ) -> DataFrame:
-    """Keys of the batch that an earlier batch claimed."""
-    earlier = table.filter(F.col("batch_id") != batch_id).select(key, "bucket")
+    """Keys of the batch that an earlier batch claimed.
+
+    The numbers of the buckets the batch can hit (at most ``folders.buckets``) are looked
+    up first, so that the scan leaves all other buckets out.
+    """
     keys = incoming.select(key).dropna().distinct()
     keys = keys.withColumn("bucket", folders.bucket_of(F.col(key)))
-    return keys.join(earlier, [key, "bucket"], "left_semi").select(key)
+    hit = [r.bucket for r in keys.select("bucket").distinct().collect()]
+    earlier = table.filter(F.col("bucket").isin(hit) & (F.col("batch_id") != batch_id))
+    return keys.join(earlier.select(key), key, "left_semi").select(key)
 
 
 def enriched(ads: DataFrame, rules: Rules, detail: DataFrame | None, as_of: Column) -> DataFrame:
