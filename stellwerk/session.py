@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,22 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the batch work inside a micro-batch.
+
+    A stream switches it off for its own plan; joins and aggregations on the rows of one
+    micro-batch are ordinary batch queries and need it as any other.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_session(cpus: int | str = "*", memory: str = "16g", partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stellwerk import fixed
 from stellwerk.operators.batches import closed_batches, count_or_idle
+from stellwerk.session import adaptive
 from stellwerk.streaming.intake import Folders, read_table
 
 
@@ -84,9 +85,11 @@ def start(
         rows = rows.unionByName(beat.select(*nothing))
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         real = batch.filter(F.col(key).isNotNull())
         now = real.agg(F.max(ts)).scalar() if available_now else F.current_timestamp()
-        process(real, batch_id, folders, key, ts, seq, now, max_rows, idle_seconds)
+        with adaptive(spark):
+            process(real, batch_id, folders, key, ts, seq, now, max_rows, idle_seconds)
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (

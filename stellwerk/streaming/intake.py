@@ -33,6 +33,7 @@ from stellwerk.functions.score import Profile, focus_hits, shown_points, with_ra
 from stellwerk.operators.archive import unexpired
 from stellwerk.operators.dedup import outcomes
 from stellwerk.operators.details import lacks_text, with_detail
+from stellwerk.session import adaptive
 from stellwerk.sources.messages import decode
 
 @dataclass(frozen=True)
@@ -264,7 +265,8 @@ def start(
     """Start the stream; message offsets are committed after a batch is written."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process(batch, batch_id, folders, rules, detail)
+        with adaptive(batch.sparkSession):
+            process(batch, batch_id, folders, rules, detail)
         if on_batch is not None:
             on_batch(batch_id)
 
