@@ -8,6 +8,8 @@ id and replace an earlier attempt, so nothing is lost or sent twice after a fail
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,7 +36,7 @@ def process(
     max_rows: int = fixed.DIGEST_ROWS,
     idle_seconds: int = fixed.DIGEST_IDLE_SECONDS,
 ) -> None:
-    """One micro-batch; ``as_of`` is the time against which idleness is measured."""
+    """One micro-batch; ``as_of`` is the fixed time against which idleness is measured."""
     spark = rows.sparkSession
     waiting = rows.unionByName(_open_rows(spark, folders, batch_id - 1, rows))
     batched = count_or_idle(waiting, key, ts, seq, max_rows, idle_seconds).persist()
@@ -87,7 +89,10 @@ def start(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         real = batch.filter(F.col(key).isNotNull())
-        now = real.agg(F.max(ts)).scalar() if available_now else F.current_timestamp()
+        # One moment for the whole batch: a row must not be open for one write and closed
+        # for the other.
+        clock = F.lit(dt.datetime.now(dt.timezone.utc))
+        now = real.agg(F.max(ts)).scalar() if available_now else clock
         with adaptive(spark):
             process(real, batch_id, folders, key, ts, seq, now, max_rows, idle_seconds)
 

@@ -172,3 +172,30 @@ def test_open_rows_stay_open_until_idle(spark, tmp_path):
     digests.process(frame.limit(0), 1, folders, "k", "ts", "seq", now(60))
     assert spark.read.parquet(folders.table("digests")).count() == 2
     assert digests.flush(spark, folders, frame, "k", "ts", "seq").count() == 0
+
+
+def test_idle_batch_closes_without_new_rows(spark, tmp_path):
+    ddl = "k STRING, ts TIMESTAMP, seq LONG"
+    folders = digests.Folders(str(tmp_path / "state"))
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    # A little in the future, so that the row is still open when it is first seen.
+    row = spark.createDataFrame([("a", now + dt.timedelta(seconds=15), 1)], ddl)
+    row.write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(ddl).parquet(str(tmp_path / "in"))
+    query = digests.start(source, folders, "k", "ts", "seq", idle_seconds=5, interval="2 seconds")
+    try:
+        first_seen = sent_in = None
+        for _ in range(30):
+            if query.exception() is not None:
+                raise query.exception()
+            done = intake.read_table(spark, folders.table("open"), ddl + ", batch_id LONG")
+            sent = intake.read_table(spark, folders.table("digests"), ddl + ", batch_id LONG")
+            first_seen = first_seen if first_seen is not None else done.agg(F.min("batch_id")).first()[0]
+            sent_in = sent.agg(F.min("batch_id")).first()[0]
+            if sent_in is not None:
+                break
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    assert first_seen is not None and sent_in > first_seen
+    assert spark.read.parquet(folders.table("digests")).count() == 1
