@@ -13,9 +13,10 @@ the sizes bound the overlap; pairs below what t asks for are discarded, the othe
 full.
 
 Sets whose first columns reach into the common ones (large groups of near copies) are first
-compared with one leader for each column.  Then only columns that still hold several components
-are searched for pairs across these.  So a group of n near copies takes about n comparisons for
-each column, not n squared, and no link between components is lost.
+compared with one leader of each column, and with further ones as long as a column holds several
+components.  At last all sets of different components that meet in a column are compared.  So
+a group of n near copies takes about n comparisons, not n squared, and no link between components is
+lost.
 """
 
 from __future__ import annotations
@@ -35,9 +36,15 @@ PERCENT = 80
 #: A column with more entries is common.
 COMMON = 64
 #: Words whose hash a worker remembers; sets that it knows to have sent.
-MEMO = 400_000
+MEMO = 200_000
 #: Entries that a worker packs at a time.
-PACKED = 1_000_000
+PACKED = 400_000
+#: Times that open columns are compared with one leader before all that is left is compared.
+LEADERS = 2
+#: Words of 64 bits of a set's sketch, which bounds overlaps from above.
+SKETCH = 32
+#: Bits of a shingle's hash that are kept besides its block.
+KEPT = np.uint64((1 << 48) - 1)
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -99,12 +106,13 @@ def sized(docs: DataFrame, width: int) -> DataFrame:
 
 
 def entries(docs: DataFrame, width: int, blocks: int) -> DataFrame:
-    """(block, sigs, many, hashes): packed entries of the matrix, each set once per batch."""
+    """(block, sigs, many, hashes): packed entries of the matrix, each set once per worker and batch."""
 
     def rows_of(sigs: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
         flat = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
-        block = ((flat >> np.uint64(40)) % np.uint64(blocks)).astype(np.int32)
+        block = (flat % np.uint64(blocks)).astype(np.int32)
+        flat = (mixed(flat) & KEPT) | (block.astype(np.uint64) << np.uint64(48))
         # A column that is common here already needs no more than a witness of that in its block;
         # its entries go straight to the rows of their sets.
         order = np.argsort(flat, kind="stable")
@@ -128,7 +136,7 @@ def entries(docs: DataFrame, width: int, blocks: int) -> DataFrame:
             rows["block"].append(int(block[a]))
             rows["sigs"].append(names[own].tobytes())
             rows["many"].append(many.astype(np.int32).tobytes())
-            rows["hashes"].append(flat[a:b].tobytes())
+            rows["hashes"].append(flat[a:b].view(np.uint8).reshape(-1, 8)[:, : 6 if block[a] >= 0 else 8].tobytes())
         types = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), types)})
 
@@ -199,28 +207,58 @@ def shared_entries(packed: DataFrame) -> DataFrame:
                 now = row["block"]
                 many = np.frombuffer(row["many"], np.int32)
                 sigs.append(np.repeat(np.frombuffer(row["sigs"], np.int64), many))
-                hashes.append(np.frombuffer(row["hashes"], np.uint64))
+                if now < 0:
+                    hashes.append(np.frombuffer(row["hashes"], np.uint64))
+                else:  # the upper two bytes are those of the block
+                    own = np.full((int(many.sum()), 4), now & 0xFFFF, np.uint16)
+                    own[:, :3] = np.frombuffer(row["hashes"], np.uint16).reshape(-1, 3)
+                    hashes.append(own.view(np.uint64).ravel())
         if sigs:
             yield done()
 
     return packed.mapInArrow(sift, "sig long, rare binary, common binary")
 
 
-ROW = "sig long, n long, rare binary, common binary, first array<bigint>, beyond array<bigint>"
+ROW = "sig long, n long, rare binary, common binary, first array<bigint>, beyond array<bigint>, sketch array<bigint>"
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap with one bit for each hash; several hashes may share a bit."""
+    bits = np.zeros(SKETCH * 64, np.uint8)
+    bits[hashes % np.uint64(SKETCH * 64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def bounded(a: str, b: str, percent: int) -> Column:
+    """Whether the overlap of two sets may reach what their sizes ask for.
+
+    Every bit that only one of the two sketches has stands for a shingle that is not shared.
+    """
+    need = F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * percent / (100 + percent))
+    bit = lambda x, i: F.col(f"{x}.sketch")[i]
+    only = lambda x, y: sum((F.bit_count(bit(x, i).bitwiseAND(F.bitwise_not(bit(y, i)))) for i in range(SKETCH)), F.lit(0))
+    return (
+        comparable(F.col(f"{a}.n"), F.col(f"{b}.n"), percent)
+        & (F.col(f"{a}.s") - only(a, b) >= need)
+        & (F.col(f"{b}.s") - only(b, a) >= need)
+    )
 
 
 def matrix_rows(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Per set: its shared columns in order, and which of them are among its first columns."""
+    """Its shared columns in order, and which of them are among its first columns, for every set
+    that has some of these."""
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict[str, list] = {k: [] for k in ("sig", "n", "rare", "common", "first", "beyond")}
+            rows: dict[str, list] = {k: [] for k in ("sig", "n", "rare", "common", "first", "beyond", "sketch")}
             for r in batch.to_pylist():
                 rare = np.sort(np.frombuffer(b"".join(r["rare"]), np.uint64))
                 common = np.unique(np.frombuffer(b"".join(r["common"]), np.uint64))
                 n = r["n"]
                 left = n - -(-percent * n // 100) + 1 - (n - len(rare) - len(common))
-                first = rare[: max(0, left)]
+                if left <= 0:
+                    continue  # enough shingles of its own: similar to no other set
+                first = rare[:left]
                 beyond = common[: max(0, left - len(rare))]
                 rows["sig"].append(r["sig"])
                 rows["n"].append(n)
@@ -228,7 +266,9 @@ def matrix_rows(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
                 rows["common"].append(common.tobytes())
                 rows["first"].append(first.view(np.int64))
                 rows["beyond"].append(beyond.view(np.int64))
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                rows["sketch"].append(sketch(np.concatenate([rare, common])) if len(beyond) else None)
+            lists = pa.list_(pa.int64())
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), lists, lists, lists)
             yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), types)})
 
     gathered = parts.groupBy("sig").agg(F.collect_list("rare").alias("rare"), F.collect_list("common").alias("common"))
@@ -307,24 +347,46 @@ def links_of(rows: DataFrame, percent: int) -> DataFrame:
     crowd = stored(rows.where(F.size("beyond") > 0), "crowd")
     if crowd.isEmpty():
         return links
-    members = crowd.select("sig", "n", F.explode("beyond").alias("column"))
-    turn = F.xxhash64("sig", "column")
-    leaders = members.groupBy("column").agg(F.min_by("sig", turn).alias("a"), F.min_by("n", turn).alias("n_a"))
-    led = members.join(leaders, "column").where("sig <> a").where(comparable(F.col("n"), F.col("n_a"), percent))
-    led = led.select(F.least("sig", "a").alias("a"), F.greatest("sig", "a").alias("b")).distinct()
-    links = stored(links.unionByName(counted(led, crowd, percent)).distinct(), "links")
-
+    columns = stored(crowd.select("sig", F.explode("beyond").alias("column")), "columns")
     roots = components(links, "links").withColumnRenamed("node", "sig")
-    members = members.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    members = stored(members, "members")
-    mixed_ = members.groupBy("column").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_ = members.join(mixed_.select("column"), "column", "left_semi")
-    other = open_.toDF(*[f"{c}_b" for c in open_.columns])
-    across = open_.join(other, (F.col("column") == F.col("column_b")) & (F.col("root") < F.col("root_b")))
-    across = across.where(comparable(F.col("n"), F.col("n_b"), percent))
-    across = across.select(F.least("sig", "sig_b").alias("a"), F.greatest("sig", "sig_b").alias("b")).distinct()
-    across = across.join(led, ["a", "b"], "left_anti")
-    return links.unionByName(counted(across, crowd, percent))
+    entry = ((F.length("rare") + F.length("common")) / 8).cast("long").alias("s")
+    root_of = crowd.select("sig", "n", entry, "sketch").join(roots, "sig", "left")
+    root_of = stored(root_of.select("sig", "n", "s", "sketch", F.coalesce("root", "sig").alias("root")), "roots")
+    for turn in range(LEADERS + 1):
+        members = columns.join(root_of.select("sig", "n", "s", "root"), "sig")
+        open_ = members.groupBy("column").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        members = stored(members.join(open_.select("column"), "column", "left_semi"), "open")
+        if members.isEmpty():
+            break
+        if turn < LEADERS:
+            # The first leaders are the sets with the fewest shingles of their own: what the
+            # others are copies of.
+            order = F.struct((F.col("n") - F.col("s") if turn == 0 else F.lit(0)).alias("own"), F.xxhash64("sig", F.lit(turn)).alias("draw"))
+            leader = members.groupBy("column").agg(F.min_by(F.struct("sig", "n", "root"), order).alias("leader"))
+            pairs = members.join(leader, "column").where(F.col("root") != F.col("leader.root"))
+            pairs = pairs.where(comparable(F.col("n"), F.col("leader.n"), percent)).select("sig", F.col("leader.sig").alias("other"))
+        else:
+            # Components that meet in a column: each set of the smaller one with each of the other.
+            own = members.select("column", "root").distinct()
+            met = own.join(own.toDF("column", "root_b"), "column").where("root < root_b").select("root", "root_b").distinct()
+            many = root_of.groupBy("root").agg(F.count("*").alias("many"))
+            met = met.join(many, "root").join(many.toDF("root_b", "many_b"), "root_b")
+            turned = F.when(F.col("many") <= F.col("many_b"), F.struct(F.col("root").alias("x"), F.col("root_b").alias("y")))
+            met = met.select(turned.otherwise(F.struct(F.col("root_b").alias("x"), F.col("root").alias("y"))).alias("m")).select("m.*")
+            few = met.join(root_of, F.col("x") == F.col("root")).select("y", "sig", "n", "s", "sketch").alias("f")
+            lots = root_of.alias("l")
+            pairs = few.join(lots, (F.col("f.y") == F.col("l.root")) & bounded("f", "l", percent))
+            pairs = pairs.select("f.sig", F.col("l.sig").alias("other"))
+        pairs = pairs.select(F.least("sig", "other").alias("a"), F.greatest("sig", "other").alias("b")).distinct()
+        good = stored(counted(pairs, crowd, percent), "good")
+        links = links.unionByName(good)
+        if turn < LEADERS:
+            ends = good.join(root_of.select(F.col("sig").alias("a"), F.col("root").alias("x")), "a")
+            ends = ends.join(root_of.select(F.col("sig").alias("b"), F.col("root").alias("y")), "b")
+            new = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")), "roots").toDF("root", "new")
+            root_of = root_of.join(new, "root", "left").select("sig", "n", "s", "sketch", F.coalesce("new", "root").alias("root"))
+            root_of = stored(root_of, "roots")
+    return links
 
 
 def grouped(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -340,7 +402,7 @@ def grouped(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> Data
     docs = docs.select(F.struct(*columns).alias("kept"), "text")
     measured = stored(sized(docs, width), "sizes")
     sizes = measured.where("sig is not null").groupBy("sig").agg(F.min("kept.doc_id").alias("id"), F.first("n").alias("n"))
-    blocks = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = entries(docs, width, blocks).repartition("block").sortWithinPartitions("block")
     rows = stored(matrix_rows(shared_entries(packed), sizes.select("sig", "n"), percent), "rows")
     roots = components(links_of(rows, percent), "links")
