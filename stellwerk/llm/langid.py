@@ -8,12 +8,12 @@ documents of each language); it predicts every document.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +22,10 @@ from stellwerk.llm.common import frequent
 LONGEST = 4
 UNKNOWN = "und"
 SMOOTHING = 0.5
-#: Vectors of unseen words that a worker remembers.
-MEMO = 200_000
 #: Longer words are scored by n-grams only, so that no single word weighs on the model's size.
 WORD_CHARS = 64
 
-letters = regex.compile(r"\p{L}+").findall
+letters = re.compile(r"[^\W\d_]+").findall
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -71,58 +69,57 @@ def counted(sample: DataFrame) -> DataFrame:
     )
 
 
+class Known(dict):
+    """Row numbers of known items, -1 for all others."""
+
+    def __missing__(self, item: str) -> int:
+        return -1
+
+
 class Model:
     """Log frequencies: a row for each known word and n-gram, a column for each language."""
 
     def __init__(self, langs: list[str], rows: list[tuple[int, str, str, int]]):
         self.langs = langs
         at = {lang: i for i, lang in enumerate(langs)}
-        self.rows: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        for n, _, item, _ in rows:
-            self.rows[n].setdefault(item, len(self.rows[n]))
-        self.logs = []
-        for n, index in enumerate(self.rows):
+        self.rows: list[Known] = []
+        logs = []
+        for n in range(LONGEST + 1):
+            own = [r for r in rows if r[0] == n]
+            first = sum(map(len, self.rows))
+            index = Known()
+            for _, _, item, _ in own:
+                index.setdefault(item, first + len(index))
             counts = np.zeros((len(index), len(langs)))
-            for _, lang, item, times in (r for r in rows if r[0] == n):
-                counts[index[item], at[lang]] += times
+            for _, lang, item, times in own:
+                counts[index[item] - first, at[lang]] += times
             total = counts.sum(axis=0) + SMOOTHING * (len(index) + 1)
-            self.logs.append(np.log((counts + SMOOTHING) / total))
+            logs.append(np.log((counts + SMOOTHING) / total))
+            self.rows.append(index)
+        self.logs = np.concatenate(logs)
 
-    def vector(self, word: str) -> np.ndarray:
-        """What one word adds for each language."""
-        if (row := self.rows[0].get(word)) is not None:
-            return self.logs[0][row]
+    def backoff(self, word: str) -> list[int]:
+        """Rows of an unseen word's longest n-grams of which any is known."""
         for n in range(LONGEST, 0, -1):
             index = self.rows[n]
-            if known := [index[g] for g in grams(word, n) if g in index]:
-                return self.logs[n][known].mean(axis=0)
-        return np.zeros(len(self.langs))
-
-
-class Memo(dict):
-    """Row numbers of the vectors of words met so far."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model = model
-        self.table = np.zeros((1024, len(model.langs)))
-
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[row] = self.model.vector(word)
-        self[word] = row
-        return row
+            if known := [row for gram in grams(word, n) if (row := index[gram]) >= 0]:
+                return known
+        return []
 
     def score(self, words: list[str]) -> np.ndarray:
-        if len(self) > MEMO:
-            self.clear()
-        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.table[rows].sum(axis=0)
-
-
-def fit(labelled: DataFrame, per_language: int = 2000, most_items: int = 100_000) -> Model:
+        """Sum over the words of what each adds for every language."""
+        rows = np.fromiter(map(self.rows[0].__getitem__, words), np.int64, len(words))
+        total = self.logs[rows[rows >= 0]].sum(axis=0)
+        flat: list[int] = []
+        weights: list[float] = []
+        for i in np.flatnonzero(rows < 0).tolist():
+            if known := self.backoff(words[i]):
+                flat += known
+                weights += [1 / len(known)] * len(known)
+        return total + np.array(weights) @ self.logs[flat] if flat else total
+
+
+def fit(labelled: DataFrame, per_language: int = 1000, most_items: int = 50_000) -> Model:
     """Fit on documents with columns doc_id, text and lang; rows without text or lang are left out.
 
     ``per_language`` bounds the documents taken of each language (chosen by a hash of the
@@ -152,23 +149,20 @@ def fit(labelled: DataFrame, per_language: int = 2000, most_items: int = 100_000
 def predicted(docs: DataFrame, model: Model) -> Column:
     """Struct (lang, score) for the column ``text``: see :func:`identified`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    memo: list[Memo] = []
-
     @F.arrow_udf("lang string, score double")
     def predict(texts: pa.Array) -> pa.Array:
-        if not memo:
-            memo.append(Memo(shared.value))
-        own, langs, scores = memo[0], [], []
-        for text in texts.to_pylist():
+        own, langs, scores = shared.value, [], []
+        for value in texts:
+            text = value.as_py()
             words = letters(text.lower()) if text else []
-            if not words or not own.model.langs:
+            if not own.langs or not any(c.isalpha() for word in words for c in word):
                 langs.append(UNKNOWN)
                 scores.append(0.0)
                 continue
             total = own.score(words) / len(words) ** 0.5
             odds = np.exp(total - total.max())
             best = int(odds.argmax())
-            langs.append(own.model.langs[best])
+            langs.append(own.langs[best])
             scores.append(float(odds[best] / odds.sum()))
         return pa.StructArray.from_arrays(
             [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"]
