@@ -72,8 +72,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_pydict(out)
 
         for batch in batches:
-            for raw in batch["raw"].to_pylist():
-                found.update(words_of(raw))
+            for raw in batch["raw"]:
+                found.update(words_of(raw.as_py()))
                 found[END] += 1
                 if len(found) > 300_000:
                     yield rows()
@@ -155,8 +155,8 @@ def chains_of(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         table = Coded(own)
         for batch in batches:
             out = {name: [] for name in types.names if name not in kept.names}
-            for raw in batch["text"].to_pylist():
-                words = words_of(raw)
+            for raw in batch["text"]:
+                words = words_of(raw.as_py())
                 words.append(END)
                 codes = np.fromiter(map(table.__getitem__, words), np.int32, len(words))
                 known = codes[codes >= 0]

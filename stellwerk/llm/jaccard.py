@@ -38,7 +38,7 @@ COMMON = 64
 #: Words whose hash a worker remembers; sets that it knows to have sent.
 MEMO = 200_000
 #: Entries that a worker packs at a time.
-PACKED = 400_000
+PACKED = 200_000
 #: Times that open columns are compared with one leader before all that is left is compared.
 LEADERS = 2
 #: Words of 64 bits of a set's sketch, which bounds overlaps from above.
@@ -97,10 +97,13 @@ def sized(docs: DataFrame, width: int) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashed()
         for batch in batches:
-            sets = [shingles(raw, hashes, width) for raw in batch["text"].to_pylist()]
-            n = pa.array([len(x) for x in sets], pa.int64())
-            sig = pa.array([signature(x) if len(x) else None for x in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["kept"], n, sig], names)
+            n, sig = [], []
+            for raw in batch["text"]:
+                own = shingles(raw.as_py(), hashes, width)
+                n.append(len(own))
+                sig.append(signature(own) if len(own) else None)
+            columns = [batch["kept"], pa.array(n, pa.int64()), pa.array(sig, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(measure, schema)
 
@@ -146,8 +149,8 @@ def entries(docs: DataFrame, width: int, blocks: int) -> DataFrame:
         sets: list[np.ndarray] = []
         held = 0
         for batch in batches:
-            for raw in batch["text"].to_pylist():
-                own = shingles(raw, hashes, width)
+            for raw in batch["text"]:
+                own = shingles(raw.as_py(), hashes, width)
                 if not len(own) or (sig := signature(own)) in sent:
                     continue
                 if len(sent) >= MEMO:
@@ -177,6 +180,8 @@ def shared_entries(packed: DataFrame) -> DataFrame:
 
         def done() -> pa.RecordBatch:
             sig, own = np.concatenate(sigs), np.concatenate(hashes)
+            sigs.clear()
+            hashes.clear()
             order = np.lexsort((sig, own))
             sig, own = sig[order], own[order]
             new = np.concatenate([[True], (own[1:] != own[:-1]) | (sig[1:] != sig[:-1])])
@@ -200,18 +205,19 @@ def shared_entries(packed: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), types)})
 
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["block"] != now and sigs:
+            packed_columns = (batch[name] for name in ("block", "sigs", "many", "hashes"))
+            for block, names, number, packed_hashes in zip(*packed_columns):
+                if block.as_py() != now and sigs:
                     yield done()
                     sigs, hashes = [], []
-                now = row["block"]
-                many = np.frombuffer(row["many"], np.int32)
-                sigs.append(np.repeat(np.frombuffer(row["sigs"], np.int64), many))
+                now = block.as_py()
+                many = np.frombuffer(number.as_buffer(), np.int32)
+                sigs.append(np.repeat(np.frombuffer(names.as_buffer(), np.int64), many))
                 if now < 0:
-                    hashes.append(np.frombuffer(row["hashes"], np.uint64))
+                    hashes.append(np.frombuffer(packed_hashes.as_buffer(), np.uint64).copy())
                 else:  # the upper two bytes are those of the block
                     own = np.full((int(many.sum()), 4), now & 0xFFFF, np.uint16)
-                    own[:, :3] = np.frombuffer(row["hashes"], np.uint16).reshape(-1, 3)
+                    own[:, :3] = np.frombuffer(packed_hashes.as_buffer(), np.uint16).reshape(-1, 3)
                     hashes.append(own.view(np.uint64).ravel())
         if sigs:
             yield done()
@@ -402,7 +408,7 @@ def grouped(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> Data
     docs = docs.select(F.struct(*columns).alias("kept"), "text")
     measured = stored(sized(docs, width), "sizes")
     sizes = measured.where("sig is not null").groupBy("sig").agg(F.min("kept.doc_id").alias("id"), F.first("n").alias("n"))
-    blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = entries(docs, width, blocks).repartition("block").sortWithinPartitions("block")
     rows = stored(matrix_rows(shared_entries(packed), sizes.select("sig", "n"), percent), "rows")
     roots = components(links_of(rows, percent), "links")
