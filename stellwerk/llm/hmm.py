@@ -162,7 +162,7 @@ def chains_of(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
                 known = codes[codes >= 0]
                 rest = Counter(words[i] for i in np.flatnonzero(codes < 0).tolist())
                 out["n_tokens"].append(len(words))
-                cls = np.where(codes >= 0, own.cls[codes], -codes - 1)
+                cls = np.where(codes >= 0, own.cls[np.maximum(codes, 0)], -codes - 1)
                 out["classes"].append(cls.astype(np.uint16).tobytes())
                 out["n_known"].append(int((own.log[known] > 0).sum()))
                 out["log_all"].append(float(own.log[known].sum()))
