@@ -25,6 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Those without a letter go, and those of which no language has more than half of the evidence.
     A missing ``lang`` is filled in; a stated one stays.
     """
+    at_workers(spark)
     model = langid.fit(docs.where(fold("doc_id", 4) != 2))
     said = langid.identified(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") > 0.5))
     return said.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
@@ -35,6 +36,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of one id count as one document.
     """
+    at_workers(spark)
     kept = jaccard.grouped(docs.select("doc_id", "text")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.select("doc_id").distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
@@ -64,6 +66,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its token ids."""
+    at_workers(spark)
     ids = bpe.encoded(F.col("text"), VOCABULARY, public_tokenizers.PATTERN)
     out = docs.withColumn("token_ids", ids)
     return out.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")

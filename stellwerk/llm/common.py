@@ -17,7 +17,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def at_workers(spark: SparkSession) -> SparkSession:
-    """Let Python workers on this machine find the library; a cluster has it installed."""
+    """Set up a session for work on texts in Python.
+
+    Workers on this machine find the library (a cluster has it installed), and a batch that goes
+    to a worker holds a few MB, so that several workers fit beside the memory of an executor.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     root, paths = str(Path(__file__).parents[2]), spark.sparkContext.environment
     if root not in paths.get("PYTHONPATH", "").split(os.pathsep):
         paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), root]))
