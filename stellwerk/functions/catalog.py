@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from stellwerk import schema
 from stellwerk.functions.text import CASELESS, bound, words
 
-# A catalog travels inside the plan of every task; this is far above any sensible one.
-MAX_ENTRIES = 5_000
 
 _WHOLE_WORDS = re.compile(r"\\b\w+\\b(?:\|\\b\w+\\b)*")
 _PLAIN = re.compile(r"[\w -]+(?:\|[\w -]+)*")
@@ -59,10 +57,8 @@ class Catalog:
 
     @classmethod
     def from_table(cls, table: DataFrame) -> Catalog:
-        """Read a caller's catalog table; its size is checked first."""
-        rows = table.select("pos", "category", "label", "pattern").limit(MAX_ENTRIES + 1).collect()
-        if len(rows) > MAX_ENTRIES:
-            raise ValueError(f"a catalog may have at most {MAX_ENTRIES} entries")
+        """Read a caller's catalog table; its entries become part of the plans."""
+        rows = table.select("pos", "category", "label", "pattern").collect()
         return cls.of((r.category, r.label, r.pattern) for r in sorted(rows))
 
     def to_table(self, spark: SparkSession) -> DataFrame:

@@ -19,12 +19,6 @@ WHITE_SPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-_SLASH = r"\s*[/|]\s*"
-GENDER = (
-    r"[\(\[]?\s*(?:"
-    + "|".join(form.replace(" ", _SLASH) for form in fixed.GENDER_FORMS)
-    + r")\s*[\)\]]?"
-)
 LEGAL = r"\b(?:" + "|".join(fixed.LEGAL_FORMS) + r")\b\.?"
 FILLER = r"\b(?:" + "|".join(fixed.PLACE_FILLERS) + r")\b"
 POSTCODE = r"\b\d{4,5}\b"
@@ -85,7 +79,7 @@ def quoted(term: str) -> str:
 
 def normal_form(value: Column | str) -> Column:
     """Without gender suffix and punctuation, squeezed and case folded."""
-    plain = F.regexp_replace(_col(value), CASELESS + GENDER, " ")
+    plain = F.regexp_replace(_col(value), CASELESS + fixed.GENDER, " ")
     plain = F.regexp_replace(plain, CASED + NOT_WORD, " ")
     return F.coalesce(casefold(squeeze(plain)), F.lit(""))
 

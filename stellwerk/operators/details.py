@@ -43,7 +43,14 @@ def missing_details(ads: DataFrame, detail: DataFrame, ref: str = "referenznumme
 def add_details(
     detail: DataFrame, fetched: DataFrame, refresh: bool = False, ref: str = "referenznummer"
 ) -> DataFrame:
-    """Insert fetched details if absent - empty ones too - or replace on refresh."""
+    """Insert fetched details if absent - empty ones too - or replace on refresh.
+
+    A reference that was fetched more than once is taken once; which answer counts depends
+    on its content only.
+    """
+    whole = F.struct(*[F.col(c) for c in fetched.columns])
+    once = fetched.groupBy(ref).agg(F.min_by(whole, F.xxhash64(*fetched.columns)).alias("_one"))
+    fetched = once.select("_one.*")
     if refresh:
         kept = detail.join(fetched.select(ref).distinct(), ref, "left_anti")
         return kept.unionByName(fetched, allowMissingColumns=True)

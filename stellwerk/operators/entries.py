@@ -115,9 +115,17 @@ def unknown_wordings(read: DataFrame) -> DataFrame:
     return read.select("unknown").dropna().distinct().orderBy("unknown")
 
 
-def set_status(seen: DataFrame, changes: DataFrame, as_of_epoch: Column) -> DataFrame:
-    """Apply (referenznummer, status): stamp the change; a decided entry never expires."""
+def set_status(
+    seen: DataFrame, changes: DataFrame, as_of_epoch: Column, order: Column | None = None
+) -> DataFrame:
+    """Apply (referenznummer, status): stamp the change; a decided entry never expires.
+
+    Of several changes to a reference the last by ``order`` counts; without an order, or on
+    a tie, the greatest status does.
+    """
     new = F.col("_new")
+    rank = F.struct(*([] if order is None else [order]), F.col("status"))
+    changes = changes.groupBy("referenznummer").agg(F.max_by("status", rank).alias("status"))
     return (
         seen.join(
             changes.select("referenznummer", F.col("status").alias("_new")),

@@ -8,56 +8,17 @@ from pyspark.sql import functions as F
 from stellwerk import fixed
 from stellwerk.functions.fingerprint import first_place
 from stellwerk.functions.places import distance_km, reported_km
-from stellwerk.functions.text import bound, map_place_form
-
-# Up to this many cities the table becomes part of the plan and no join is needed.
-PLAN_CITIES = 2_000
-
-
-def city_rows(cities: DataFrame) -> list[tuple[int, str, float, float]] | None:
-    """The city table as plan constants, names in normal form; None if it is too large."""
-    named = cities.select("pos", map_place_form(F.col("name")).alias("name"), "lat", "lon")
-    rows = named.limit(PLAN_CITIES + 1).collect()
-    return None if len(rows) > PLAN_CITIES else [tuple(r) for r in sorted(rows)]
-
-
-def locate(place: Column, cities: list[tuple[int, str, float, float]]) -> Column:
-    """struct<lat, lon> of a place: its exact name, else the first city that extends the
-    name by a word or that the name extends; null if unknown.  The city names are in
-    normal form, as :func:`city_rows` gives them."""
-    table = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), F.lit(lat).alias("lat"), F.lit(lon).alias("lon"))
-            for _, name, lat, lon in cities
-        ]
-    )
-
-    def find(name: Column) -> Column:
-        exact = F.filter(table, lambda c: c["name"] == name)
-        near = F.filter(
-            table,
-            lambda c: F.startswith(c["name"], F.concat(name, F.lit(" ")))
-            | F.startswith(name, F.concat(c["name"], F.lit(" "))),
-        )
-        hit = F.coalesce(F.get(exact, F.lit(0)), F.get(near, F.lit(0)))
-        return F.when(name != "", F.struct(hit["lat"].alias("lat"), hit["lon"].alias("lon")))
-
-    return bound(
-        bound(map_place_form(place), find), lambda hit: F.when(hit["lat"].isNotNull(), hit)
-    )
+from stellwerk.functions.text import map_place_form
 
 
 def located(rows: DataFrame, place: str, cities: DataFrame) -> DataFrame:
     """Add the struct ``point`` (lat, lon), null for an unknown place.
 
-    A small city table is searched inside the row.  A large one is joined: the "first
-    word(s) equal" rule turns into equality on word prefixes, so no pair of place and
-    city is ever compared that does not share a name.  Distinct places are resolved
-    first, and only then joined back.
+    A place is its exact name, else the first city that extends it by a word or that it
+    extends.  The "first word(s) equal" rule turns into equality on word prefixes, so no
+    pair of place and city is ever compared that does not share a name.  Distinct places are
+    resolved first, and only then joined back.
     """
-    constants = city_rows(cities)
-    if constants is not None:
-        return rows.withColumn("point", locate(F.col(place), constants))
 
     def prefixes(name: Column) -> Column:
         """Proper word prefixes of a name."""

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from stellwerk import fixed
 from stellwerk.functions.occupation import occupation_code, stated
-from stellwerk.operators.sizes import broadcast_if_small
 
 
 def overall_rows(salaries: DataFrame, order: str = "pos") -> DataFrame:
@@ -52,4 +51,4 @@ def lookup(titles: DataFrame, title: str, region_id: Column, pay: DataFrame) ->
     keyed = titles.withColumn("kldb", occupation_code(F.col(title))).withColumn(
         "region_id", region_id
     )
-    return keyed.join(broadcast_if_small(pay), ["kldb", "region_id"], "left")
+    return keyed.join(pay, ["kldb", "region_id"], "left")

@@ -1,4 +1,4 @@
-"""Checked sizes for small sides of joins, and numbering without a single-task sort."""
+"""Row counts, and numbering without a single-task sort."""
 
 from __future__ import annotations
 
@@ -8,19 +8,6 @@ from pyspark.sql.window import Window
 
 from stellwerk.session import cut
 
-# Rows of a lookup table that may be sent to every task.
-SMALL_ROWS = 100_000
-
-
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """At most ``rows`` rows; reads no more than one row beyond that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A broadcast hint where the size allows it, else a join like any other."""
-    return F.broadcast(df) if is_small(df, rows) else df
-
 
 def total(df: DataFrame) -> Column:
     """Number of rows as a scalar subquery."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from stellwerk import fixed
-from stellwerk.functions import contact, workmodel
+from stellwerk.functions import contact
 from stellwerk.functions.defaults import BENEFITS
 from stellwerk.functions.terms import STOP_WORDS
 from stellwerk.plans.tables import CATALOG, PROFILE
@@ -298,15 +298,15 @@ def _pay(x: str) -> str:
 
 
 def _work(x: str) -> str:
-    days = " || ".join(f"regexp_extract({x}, {_re(workmodel.DAYS)}, {i})" for i in (1, 2))
+    days = " || ".join(f"regexp_extract({x}, {_re(fixed.DAYS_PHRASES)}, {i})" for i in (1, 2))
     match = lambda p: f"regexp_matches({x}, {_re(p)})"
-    return f"""CASE WHEN {match(workmodel.ON_SITE)} THEN 'vor Ort'
-        WHEN {match(workmodel.REMOTE)} THEN '100 % remote'
+    return f"""CASE WHEN {match(fixed.ON_SITE_PHRASES)} THEN 'vor Ort'
+        WHEN {match(fixed.REMOTE_PHRASES)} THEN '100 % remote'
         WHEN {days} = '1' THEN 'hybrid, 1 Tag/Woche'
         WHEN {days} IN ('2', '3', '4') THEN 'hybrid, ' || {days} || ' Tage/Woche'
         WHEN {days} <> '' THEN '100 % remote'
-        WHEN {match(workmodel.HYBRID)} THEN 'hybrid, Umfang offen'
-        WHEN {match(workmodel.POSSIBLE)} THEN 'möglich, Umfang offen' ELSE '' END"""
+        WHEN {match(fixed.HYBRID_PHRASES)} THEN 'hybrid, Umfang offen'
+        WHEN {match(fixed.POSSIBLE_PHRASES)} THEN 'möglich, Umfang offen' ELSE '' END"""
 
 
 def _work_model(x: str) -> str:

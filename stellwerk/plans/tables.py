@@ -70,12 +70,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows are expensive to work on.
 
-    A scan gives one task per part of a file.  Where there are fewer files than cores the
-    rows are dealt out first; a large table has files enough and is never shuffled here.
+    A scan gives one task per row group.  Where that leaves cores idle, as with the one row
+    group of a small table, the rows are dealt out first; a large table is never shuffled here.
     """
     rows = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _case(value: Column, texts: dict[object, str | Column], default: str = "") -> Column:
@@ -86,7 +86,7 @@ def _case(value: Column, texts: dict[object, str | Column], default: str = "") -
 
 
 def _capital(word: Column) -> Column:
-    return F.concat(F.upper(F.substring(word, 1, 1)), F.substring(word, 2, 100))
+    return F.concat(F.upper(F.substring(word, 1, 1)), F.substring(word, 2, 1 << 30))
 
 
 def title_of() -> Column:
@@ -186,8 +186,7 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(parts, F.col("o_orderkey") == F.col("p_partkey"))
     )
-    # Never broadcast the texts: the side they are joined to would do all work on them.
-    rows = documents.join(facts.hint("merge"), F.col("doc_id") == F.col("o_orderkey"))
+    rows = documents.join(facts, F.col("doc_id") == F.col("o_orderkey"))
     doc = F.col("doc_id").cast("string")
     size = F.col("p_size")
     none = F.lit(None)

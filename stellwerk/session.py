@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -65,11 +66,14 @@ def local_session(cpus: int | str = "*", memory: str = "16g", partitions: int =
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
-    Only where ``spark.checkpoint.dir`` is unset - on one machine, in tests - a
-    fresh folder is made and remembered for the rest of the session.
+    A folder set on the context counts as well.  Only on one machine, where none is named, a
+    fresh one is made and remembered for the rest of the session; on a cluster a folder of
+    one machine would be lost with it, so there one has to be named.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[[^-]*\])?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="stellwerk-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -287,9 +287,11 @@ def _list_of(ddl: str) -> T.ArrayType:
     return T.ArrayType(T.StructType.fromDDL(ddl))
 
 
-def ads_of(jobs: DataFrame, name: str, search: Search) -> DataFrame:
+def ads_of(
+    jobs: DataFrame, name: str, search: Search, registry: Mapping[str, Feed] = FEEDS
+) -> DataFrame:
     """Wanted ads of one feed in ad shape."""
-    f = feed(name)
+    f = feed(name, registry)
     return f.wanted(f.mapped(jobs), search)
 
 
@@ -306,15 +308,23 @@ def _priority(name: str) -> int:
 
 
 def collect(
-    spark: SparkSession, paths: Mapping[str, str | list[str]], search: Search
+    spark: SparkSession,
+    paths: Mapping[str, str | list[str]],
+    search: Search,
+    registry: Mapping[str, Feed] = FEEDS,
 ) -> DataFrame | None:
-    """Read several feeds; one that cannot be read is skipped, the others go on."""
+    """Read several feeds; one whose files are not there is skipped, the others go on.
+
+    Frames are lazy: a file that turns out to be unreadable while the job runs ends the job.
+    """
     for name in paths:
-        feed(name)
+        feed(name, registry)
     frames = {}
     for name, path in paths.items():
         try:
-            frames[name] = ads_of(read_jobs(spark, name, path), name, search)
+            frames[name] = ads_of(
+                read_jobs(spark, name, path, registry), name, search, registry
+            )
         except PySparkException as problem:
             log.warning("feed %s skipped: %s", name, problem)
     return union_feeds(frames) if frames else None

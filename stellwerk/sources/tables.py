@@ -12,12 +12,19 @@ from stellwerk import schema
 from stellwerk.functions.dates import partition_day
 from stellwerk.operators.archive import one_per_day
 from stellwerk.operators.profile import readable
+from stellwerk.session import fresh_path
+
+# Partition columns of the archive.
+DAY = ("jahr", "monat", "tag")
 
 
 def write_archive(rows: DataFrame, path: str, day: str = "tag", seq: str = "seq") -> None:
     """Write ads under jahr=/monat=/tag=, the last arrival per reference and day.
 
-    Rows are spread by day and reference, so a large day becomes several files.
+    An ad that is there already under the same reference and day is replaced, all others of
+    the day stay.  The days concerned are put together in the shared folder first, because a
+    partition cannot be read while it is replaced.  Rows are spread by day and reference, so a
+    large day becomes several files.
     """
     last = one_per_day(rows, day=day, seq=seq)
     dated = last.withColumns(
@@ -27,15 +34,35 @@ def write_archive(rows: DataFrame, path: str, day: str = "tag", seq: str = "seq"
             "_tag": F.date_format(day, "dd"),
         }
     ).drop(day, seq)
+    dated = dated.withColumnRenamed("_tag", "tag")
+    spark = rows.sparkSession
+    if exists(spark, path):
+        staged = fresh_path(spark, "archive")
+        dated.write.parquet(f"{staged}/new")
+        dated = spark.read.schema(dated.schema).parquet(f"{staged}/new")
+        layout = T.StructType([f for f in dated.schema if f.name not in DAY])
+        for name in DAY:
+            layout = layout.add(name, "string")
+        there = spark.read.schema(layout).parquet(path)
+        there = there.join(dated.select(*DAY).distinct(), list(DAY), "left_semi")
+        kept = there.join(dated.select("referenznummer", *DAY), ["referenznummer", *DAY], "left_anti")
+        dated.unionByName(kept).write.parquet(f"{staged}/all")
+        dated = spark.read.schema(dated.schema).parquet(f"{staged}/all")
     (
-        dated.withColumnRenamed("_tag", "tag")
-        .write.mode("overwrite")
+        dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("jahr", "monat", "tag")
+        .partitionBy(*DAY)
         .parquet(path)
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, wherever Spark can read."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_archive(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
     """The archive with its day as ``tag``; ``since`` prunes partitions before any file opens.
 

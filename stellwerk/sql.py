@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from stellwerk import fixed
-from stellwerk.functions import text, workmodel
+from stellwerk.functions import text
 
 
 def _literal(pattern: str) -> str:
@@ -18,7 +18,7 @@ def _literal(pattern: str) -> str:
 
 
 def _normal(value: str) -> str:
-    plain = f"regexp_replace({value}, {_literal(text.CASELESS + text.GENDER)}, ' ')"
+    plain = f"regexp_replace({value}, {_literal(text.CASELESS + fixed.GENDER)}, ' ')"
     plain = f"regexp_replace({plain}, {_literal(text.CASED + text.NOT_WORD)}, ' ')"
     plain = f"regexp_replace({plain}, {_literal(text.CASED + r'\\s+')}, ' ')"
     return f"coalesce(replace(lower(trim({plain})), 'ß', 'ss'), '')"
@@ -35,7 +35,7 @@ def _functions() -> dict[str, str]:
     title = _normal("title")
     joined = f"concat_ws('|', {employer}, {title}, {place})"
     days = "concat(" + ", ".join(
-        f"regexp_extract(work_text, {_literal(text.CASELESS + workmodel.DAYS)}, {i})" for i in (1, 2)
+        f"regexp_extract(work_text, {_literal(text.CASELESS + fixed.DAYS_PHRASES)}, {i})" for i in (1, 2)
     ) + ")"
     return {
         "content_fingerprint(employer STRING, title STRING, place STRING) RETURNS STRING": (
@@ -47,13 +47,13 @@ def _functions() -> dict[str, str]:
             f" ELSE CAST(bround(100 * reached / (possible + {fixed.DAMPING}), 0) AS INT) END"
         ),
         "work_model(work_text STRING) RETURNS STRING": (
-            f"CASE WHEN {_rlike(workmodel.ON_SITE)} THEN '{fixed.ON_SITE}'"
-            f" WHEN {_rlike(workmodel.REMOTE)} THEN '{fixed.FULLY_REMOTE}'"
+            f"CASE WHEN {_rlike(fixed.ON_SITE_PHRASES)} THEN '{fixed.ON_SITE}'"
+            f" WHEN {_rlike(fixed.REMOTE_PHRASES)} THEN '{fixed.FULLY_REMOTE}'"
             f" WHEN {days} = '1' THEN 'hybrid, 1 Tag/Woche'"
             f" WHEN {days} IN ('2', '3', '4') THEN concat('hybrid, ', {days}, ' Tage/Woche')"
             f" WHEN {days} <> '' THEN '{fixed.FULLY_REMOTE}'"
-            f" WHEN {_rlike(workmodel.HYBRID)} THEN '{fixed.HYBRID_OPEN}'"
-            f" WHEN {_rlike(workmodel.POSSIBLE)} THEN '{fixed.POSSIBLE_OPEN}' ELSE '' END"
+            f" WHEN {_rlike(fixed.HYBRID_PHRASES)} THEN '{fixed.HYBRID_OPEN}'"
+            f" WHEN {_rlike(fixed.POSSIBLE_PHRASES)} THEN '{fixed.POSSIBLE_OPEN}' ELSE '' END"
         ),
         "haversine_km(lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE) RETURNS DOUBLE": (
             f"{2 * fixed.EARTH_RADIUS_KM} * asin(sqrt(power(sin(radians(lat2 - lat1) / 2), 2)"

@@ -163,12 +163,21 @@ def test_archive_is_pruned_before_files_open(spark, tmp_path):
     assert len(recent.inputFiles()) >= 1
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(jahr" in plan
-    # The same day again replaces only that day.
+    # The same reference and day again replaces only that ad.
     again = archive_rows(spark).filter("seq = 3").withColumn("stellenangebotsTitel", F.lit("ersetzt"))
     tables.write_archive(again, path)
     assert sorted(r.stellenangebotsTitel for r in tables.read_archive(spark, path).collect()) == ["b", "ersetzt", "neu"]
 
 
+def test_archive_keeps_the_other_ads_of_a_day(spark, tmp_path):
+    path, ddl = str(tmp_path / "raw"), "seq LONG, tag DATE, referenznummer STRING, stellenangebotsTitel STRING"
+    day = dt.date(2026, 7, 31)
+    tables.write_archive(spark.createDataFrame([(1, day, "a", "x"), (2, day, "b", "y")], ddl), path)
+    tables.write_archive(spark.createDataFrame([(3, day, "c", "z"), (4, day, "b", "neu")], ddl), path)
+    rows = tables.read_archive(spark, path).collect()
+    assert sorted((r.referenznummer, r.stellenangebotsTitel) for r in rows) == [("a", "x"), ("b", "neu"), ("c", "z")]
+
+
 def test_malformed_partition_is_read_only_without_a_period(spark, tmp_path):
     path = str(tmp_path / "raw")
     tables.write_archive(archive_rows(spark), path)
