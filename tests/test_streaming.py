@@ -126,7 +126,7 @@ def test_enrichment_uses_the_detail_only_where_needed(spark, tmp_path):
     found = {r.referenznummer: r.enrichment for r in spark.read.parquet(folders.table("matched")).collect()}
     assert (found["a"].alter_tage, found["a"].entfernung_km) == (2, pytest.approx(8.2, abs=0.11))
     assert (found["a"].treffer, found["a"].luecken, found["a"].schwerpunkte) == (["SQL", "Java"], ["Docker", "Kafka"], ["Java"])
-    assert found["b"].luecken == ["Kafka", "Docker"]
+    assert found["b"].luecken == ["Docker", "Kafka"]
     assert (found["c"].stufe[0], found["c"].punkte) == ("D", None)
 
 
