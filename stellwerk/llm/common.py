@@ -21,7 +21,10 @@ def at_workers(spark: SparkSession) -> SparkSession:
 
     Workers on this machine find the library (a cluster has it installed), and a batch that goes
     to a worker holds a few MB, so that several workers fit beside the memory of an executor.
+    The shuffle files of a query are removed when it ends: each step is written to the shared
+    folder, so no later query reads them.
     """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     root, paths = str(Path(__file__).parents[2]), spark.sparkContext.environment
