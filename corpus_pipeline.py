@@ -32,14 +32,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest id.
+    """One row of each group of near copies, that of the smallest id; one without an id comes last.
 
-    Rows of one id count as one document.
+    Every row is a document of its own, so repeated rows and rows that share an id, or have none,
+    are compared like all others.  Of rows without a word one stays for each id.
     """
     at_workers(spark)
-    kept = jaccard.grouped(docs.select("doc_id", "text")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
+    # Written with their numbers, as a second scan may be split, and so numbered, differently.
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), *COLUMNS), "rows")
+    named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row").alias("doc_id")
+    least = jaccard.grouped(rows.select(named, "text")).where(F.col("doc_id") == F.col("component_id"))
+    same = F.when(F.col("n_shingles") > 0, F.col("doc_id.row")).alias("same")
+    kept = least.groupBy("doc_id.unnamed", "doc_id.doc_id", same).agg(F.min("doc_id.row").alias("row"))
+    return rows.join(kept.select("row"), "row", "left_semi").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -125,3 +125,13 @@ def test_stages_on_odd_documents(spark, sf_dir):
         assert empty.count() == 0
     assert {r["doc_id"] for r in at.collect()} <= {None, 4, 6}
     assert pii.KINDS and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_one_row_of_each_group_of_copies_stays(spark, sf_dir):
+    one, other, third = ("the house and the garden of the town", "a ship sails over the wide sea at night", "no rain fell on the dry hills in may")
+    rows = [(4, one)] * 3 + [(5, one), (None, one), (None, one)]  # one text under two ids and none
+    rows += [(5, third)]  # another text of an id that is no root above
+    rows += [(None, other)] * 40 + [(None, other.upper())] + [(7, ""), (7, ""), (None, None), (None, None)]
+    at = at_workers(spark).createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], (r["text"] or "").lower()) for r in corpus_pipeline.deduplicate(spark, at.repartition(3), sf_dir).collect()]
+    assert sorted(kept, key=repr) == sorted([(4, one), (5, third), (None, other), (7, ""), (None, "")], key=repr)
