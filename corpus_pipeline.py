@@ -7,7 +7,7 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the las
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stellwerk.llm import bpe, jaccard, langid, mixing, pii
@@ -58,7 +58,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in the order of training.
 
     Documents stay whole: the one in which a source's target is reached is taken if at least half
-    of its words are.
+    of its words are.  The order is that of the partitions and of the rows in them.  Written by
+    ``stored``, a partition is a file with its number in the name, and a row keeps its place in it.
     """
     # The documents are a stored table: a scan numbers its rows the same way each time.
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), *COLUMNS)
@@ -69,12 +70,29 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return full.sortWithinPartitions("position", "doc_id", "copy").select(*COLUMNS)
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``position``, the place of each row: 0, 1, 2 ... along the files of a table.
+
+    A scan packs files by size, so the order of its rows tells nothing.  Files follow each other by
+    the number in their names.  What is no scan of files is stored first.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs = stored(docs, "ordered")
+    docs = docs.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("nth"))
+    # A row for each file: small enough for one task.
+    files = docs.groupBy("file").agg((F.max("nth") + 1).alias("rows"))
+    number = F.regexp_extract("file", r"^part-(\d+)", 1).try_cast("long")
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    return docs.join(F.broadcast(files), "file").withColumn("position", F.col("start") + F.col("nth")).drop("file", "nth", "start")
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its token ids."""
+    """Every document with its token ids and its position in the order of training."""
     at_workers(spark)
     ids = bpe.encoded(F.col("text"), VOCABULARY, public_tokenizers.PATTERN)
-    out = docs.withColumn("token_ids", ids)
-    return out.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
+    out = placed(docs).withColumn("token_ids", ids)
+    return out.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "position")
 
 
 STAGES = [

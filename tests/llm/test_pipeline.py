@@ -12,8 +12,8 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from stellwerk.llm import bpe, pii
-from stellwerk.llm.common import at_workers
+from stellwerk.llm import bpe, mixing, pii
+from stellwerk.llm.common import at_workers, stored
 from stellwerk.llm.queries import ORACLE, QUERIES, VOCABULARY
 
 TABLES = ("documents", "embeddings", "pages")
@@ -135,3 +135,20 @@ def test_one_row_of_each_group_of_copies_stays(spark, sf_dir):
     at = at_workers(spark).createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = [(r["doc_id"], (r["text"] or "").lower()) for r in corpus_pipeline.deduplicate(spark, at.repartition(3), sf_dir).collect()]
     assert sorted(kept, key=repr) == sorted([(4, one), (5, third), (None, other), (7, ""), (None, "")], key=repr)
+
+
+def test_positions_follow_the_schedule_over_many_files(spark, sf_dir):
+    rows = [(i, "w " * 10, "en", "abc"[i % 3], 20) for i in range(1200)]
+    docs = stored(at_workers(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "docs")
+    wanted = [r["doc_id"] for r in mixing.in_order(mixing.mixed(docs)).collect() if r["words"] * 2 >= r["size"]]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mix = stored(corpus_pipeline.mix(spark, docs, sf_dir), "mix")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(mix.inputFiles()) > 2
+    out = {r["position"]: r["doc_id"] for r in corpus_pipeline.tokenize(spark, mix, sf_dir).collect()}
+    assert [out[i] for i in range(len(wanted))] == wanted and len(out) == len(wanted)
+    # What is not stored yet is placed by its own order.
+    again = corpus_pipeline.tokenize(spark, mix.orderBy("doc_id"), sf_dir).orderBy("position").collect()
+    assert [r["doc_id"] for r in again] == sorted(wanted)
