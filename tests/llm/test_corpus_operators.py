@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -258,6 +260,27 @@ def test_audit_finds_exactly_the_damage(spark):
     assert fixity.audited(whole, nothing).where("status = 'missing'").count() == len(rows)
 
 
+def test_audit_of_many_records_of_one_id(spark):
+    hot = [(7, "u", f"page {i}") for i in range(400)]
+    unnamed = [(None, "u", f"text {i}") for i in range(60)]
+    many = [(9, "u", "same")] * 9000
+    rows = hot + unnamed + many + [(8, "u", "a"), (8, "u", "b")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    # The first record in the order of digests is lost: the others of the id are untouched.
+    digests = {h: hashlib.sha256(f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: u\r\nContent-Length: {len(h)}\r\n\r\n{h}\r\n\r\n".encode()).hexdigest() for _, _, h in rows}
+    first = min((h for _, _, h in hot), key=digests.__getitem__)
+    bad = [r for r in hot if r[2] != first] + unnamed[1:] + many[:-5000] + [(8, "u", "a"), (8, "u", "c"), (8, "u", "b"), (8, "u", "b")]
+    out = fixity.audited(fixity.records(pages), fixity.records(spark.createDataFrame(bad, pages.schema))).collect()
+    names = {d: h for h, d in digests.items()}
+    found = Counter((names.get(r["expected"]), names.get(r["found"], r["found"] and "c"), r["status"]) for r in out)
+    assert found == {
+        (first, None, "missing"): 1, ("text 0", None, "missing"): 1, ("same", None, "missing"): 5000,
+        (None, "b", "surplus"): 1, (None, "c", "surplus"): 1,
+    }
+    lost = sorted((r["copy"], r["offset"]) for r in out if names.get(r["expected"]) == "same")
+    assert [c for c, _ in lost] == list(range(4000, 9000)) and {b[1] - a[1] for a, b in zip(lost, lost[1:])} == {len(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: u\r\nContent-Length: 4\r\n\r\nsame\r\n\r\n")}
+
+
 def test_offsets_add_up(spark):
     pages = spark.createDataFrame([(i, "u", "ä" * i) for i in range(50)], "page_id long, url string, html string")
     rows = fixity.records(pages).orderBy("slot").collect()
