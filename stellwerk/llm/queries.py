@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellwerk.llm import bitslice, bpe, covertree, fixity, hmm, jaccard, langid, mixing, pii, urls
-from stellwerk.llm.common import at_workers, fold
+from stellwerk.llm import bitslice, bpe, covertree, fixity, hmm, infill, jaccard, langid, mixing, periodic, pii, substrings, urls
+from stellwerk.llm.common import WORD, at_workers, fold
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -95,11 +95,57 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", 10)
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Texts of which a tenth, by the crc32 of the doc_id, end in a repeated stretch of their words."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    docs = docs.withColumn("words", words).withColumn("n", F.size("words")).withColumn("g", F.floor(h / 10))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    docs = docs.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    cycle = F.slice("words", F.col("a") + 1, F.least("p", rest))
+    tail = F.slice(F.flatten(F.array_repeat(cycle, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return docs.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, the longest of them, and the text without what they repeat."""
+    docs = with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.with_runs(docs).withColumn("longest", periodic.longest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as a fill-in-the-middle sample, and restored from it, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = infill.transformed(docs)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the passages of 13 words or more that an earlier document has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = substrings.without_repeats(docs)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_score, op2_bpe, op3_pii_surrogates, op4_language, op5_mixing, op6_near_vectors,
-        op7_fixity_audit, op8_ngram_jaccard, op9_url_filter, op10_top_k,
+        op7_fixity_audit, op8_ngram_jaccard, op9_url_filter, op10_top_k, op11_periodic_runs,
+        op12_fill_in_middle, op13_substring_dedup,
     )
 }
 
@@ -234,7 +280,48 @@ select query_id, row_number() over (partition by query_id order by score desc, v
 from scores qualify rank <= 10
 """
 
+OP12 = r"""
+with drawn as (
+  select doc_id, coalesce(text, '') as x, sha256('42:' || coalesce(doc_id::varchar, '')) as h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as t
+  from documents),
+numbers as (
+  select *, len(t)::bigint as n, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+    ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4
+  from drawn),
+cut as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when x = '' or contains(x, '<P>') or contains(x, '<S>') or contains(x, '<M>') or h3 % 100 >= 50 then 'plain'
+      when h4 % 100 < 80 then 'spm' else 'psm' end as form
+  from numbers),
+parts as (
+  select *, array_to_string(t[1:a], '') as prefix, array_to_string(t[a + 1:b], '') as middle, array_to_string(t[b + 1:n], '') as suffix from cut),
+made as (
+  select *, case form when 'plain' then x when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end as output
+  from parts)
+select doc_id, n, form, case when form <> 'plain' then length(prefix)::bigint end as prefix_chars,
+  case when form <> 'plain' then length(middle)::bigint end as middle_chars, sha256(output) as output_sha256,
+  sha256(case when form = 'plain' then output else prefix || middle || suffix end) as restored_sha256
+from made
+"""
+
+OP13 = rf"""
+with words as (select row_number() over () as r, doc_id, coalesce({WORDS_OF.format("text")}, []) as w from documents),
+windows as (select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from words where doc_id is not null and len(w) >= 13),
+named as (select r, doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) as x from windows),
+least as (select x, min(doc_id) as low from named group by x having count(*) > 1),
+gone as (
+  select distinct n.r, n.i + k.k as i from named n join least l on n.x = l.x and n.doc_id > l.low, (select unnest(range(0, 13)) as k) k),
+lists as (select r, list(i) as g from gone group by r),
+kept as (
+  select doc_id, w, list_transform(list_filter(range(1, len(w) + 1), lambda i: not list_contains(coalesce(g, []), i)), lambda i: w[i]) as k
+  from words left join lists using (r))
+select doc_id, len(w)::bigint as n_words, (len(w) - len(k))::bigint as n_removed, sha256(coalesce(array_to_string(k, ' '), '')) as kept_sha256 from kept
+"""
+
 ORACLE = {
     "op5_mixing": OP5, "op6_near_vectors": OP6, "op7_fixity_audit": OP7,
-    "op8_ngram_jaccard": OP8, "op9_url_filter": OP9, "op10_top_k": OP10,
+    "op8_ngram_jaccard": OP8, "op9_url_filter": OP9, "op10_top_k": OP10, "op12_fill_in_middle": OP12,
+    "op13_substring_dedup": OP13,
 }
