@@ -13,8 +13,10 @@ that are longer than ``width`` words are chains of such nodes, one suffix link a
 come together again when the leaves of a document are put back into order.
 
 Only suffix names travel: 64 bits for all ``width`` words besides 20 bits for the first two, and
-where they start.  A group that gets more than it should (a passage in very many documents) is
-reduced while it comes in: leaves that are already known to have a smaller document go out at once.
+where they start.  A passage in very many documents makes no large group: of the suffixes of one
+name that a worker deals, only those of the smallest document enter the group, and a group that still
+gets more than it should is reduced in the same way while it comes in.  What is to be taken out goes
+to buckets of documents, which are as many as there are groups.
 """
 
 from __future__ import annotations
@@ -124,11 +126,61 @@ def from_planes(raw: pa.Scalar, kind: type) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-DEALT = "bin int, ids binary, marks binary, many binary, starts binary, codes binary, names binary"
+PACK = "ids binary, marks binary, many binary, starts binary"
+DEALT = f"bin int, {PACK}, codes binary, names binary"
 
 
-def suffixes(docs: DataFrame, width: int, first: np.ndarray, parts: np.ndarray) -> DataFrame:
-    """Packed suffixes of the documents, by group: names, documents and where they start."""
+def packed(bins: np.ndarray, ids: np.ndarray, marks: np.ndarray, doc: np.ndarray, start: np.ndarray, **more: np.ndarray) -> dict[str, list]:
+    """One row per bin: the documents in it, and where suffixes start in each.
+
+    ``doc`` counts in ``ids`` and ``marks``; entries come by document and start.
+    """
+    order = np.argsort(bins, kind="stable")
+    bins, doc, start = bins[order], doc[order], start[order]
+    more = {name: x[order] for name, x in more.items()}
+    cuts = np.flatnonzero(np.diff(bins, prepend=np.iinfo(np.int32).min))
+    rows: dict[str, list] = {k: [] for k in ("bin", "ids", "marks", "many", "starts", *more)}
+    for a, b in zip(cuts, np.append(cuts[1:], len(bins))):
+        new = np.flatnonzero(np.diff(doc[a:b], prepend=-1))
+        own = doc[a:b][new]
+        step = np.diff(start[a:b], prepend=0)
+        step[new] = start[a:b][new]
+        rows["bin"].append(int(bins[a]))
+        rows["ids"].append(planes(np.diff(ids[own], prepend=0)))
+        rows["marks"].append(planes(marks[own]) if marks[own].any() else b"")
+        rows["many"].append(planes(np.diff(np.append(new, b - a)).astype(np.uint32)))
+        rows["starts"].append(planes(step.astype(np.uint32)))
+        for name, x in more.items():
+            rows[name].append(planes(x[a:b]))
+    return rows
+
+
+def unpacked(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, marks and starts of a packed row, one entry per suffix."""
+    many = from_planes(row["many"], np.uint32)
+    ids = np.cumsum(from_planes(row["ids"], np.int64))
+    marks = from_planes(row["marks"], np.int64) if len(row["marks"].as_buffer()) else np.zeros(len(ids), np.int64)
+    steps = from_planes(row["starts"], np.uint32).astype(np.int64)
+    sums = np.cumsum(steps)
+    new = np.cumsum(many) - many
+    start = sums - np.repeat(sums[new] - steps[new], many)
+    return np.repeat(ids, many), np.repeat(marks, many), start.astype(np.int32)
+
+
+def as_batch(rows: dict[str, list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k in ("bin", "bucket") else pa.binary()) for k, v in rows.items()})
+
+
+def bucket_of(ids: np.ndarray, marks: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(ids.view(np.uint64) ^ mixed(marks.view(np.uint64) + _ODD)) % np.uint64(buckets)).astype(np.int32)
+
+
+def suffixes(docs: DataFrame, width: int, first: np.ndarray, parts: np.ndarray, buckets: int) -> DataFrame:
+    """Packed suffixes of the documents, by group: names, documents and where they start.
+
+    A suffix with a smaller document already among those that the worker deals needs no group: it
+    comes under the negative number of its document's bucket.
+    """
 
     def rows_of(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
         held.sort(key=lambda d: d[:2])
@@ -139,24 +191,19 @@ def suffixes(docs: DataFrame, width: int, first: np.ndarray, parts: np.ndarray)
         start = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         ids = np.array([d[0] for d in held], np.int64)
         marks = np.array([d[1] for d in held], np.int64)
-        bins = first[code] + (name % parts[code].astype(np.uint64)).astype(np.int32)
-        order = np.argsort(bins, kind="stable")
-        bins, code, name, doc, start = (x[order] for x in (bins, code, name, doc, start))
-        cuts = np.flatnonzero(np.diff(bins, prepend=-1))
-        rows: dict[str, list] = {k: [] for k in ("bin", "ids", "marks", "many", "starts", "codes", "names")}
-        for a, b in zip(cuts, np.append(cuts[1:], len(bins))):
-            new = np.flatnonzero(np.diff(doc[a:b], prepend=-1))
-            own = doc[a:b][new]
-            step = np.diff(start[a:b], prepend=0)
-            step[new] = start[a:b][new]
-            rows["bin"].append(int(bins[a]))
-            rows["ids"].append(planes(np.diff(ids[own], prepend=0)))
-            rows["marks"].append(planes(marks[own]) if marks[own].any() else b"")
-            rows["many"].append(planes(np.diff(np.append(new, b - a)).astype(np.uint32)))
-            rows["starts"].append(planes(step.astype(np.uint32)))
-            rows["codes"].append(planes(code[a:b]))
-            rows["names"].append(name[a:b].tobytes())
-        return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "bin" else pa.binary()) for k, v in rows.items()})
+        # Documents ascend, so the first suffix of a name has the smallest.
+        order = np.argsort(name, kind="stable")
+        parting = np.concatenate([[True], (np.diff(name[order]) != 0) | (np.diff(code[order]) != 0)])
+        owner = ids[doc[order]]
+        over = np.zeros(len(doc), bool)
+        over[order] = owner > owner[parting][np.cumsum(parting) - 1]
+        left = ~over
+        group = first[code] + (name % parts[code].astype(np.uint64)).astype(np.int32)
+        out = packed(group[left], ids, marks, doc[left], start[left], codes=code[left], names=name[left])
+        done = packed(-1 - bucket_of(ids, marks, buckets)[doc[over]], ids, marks, doc[over], start[over])
+        for column, values in out.items():
+            values += done.get(column) or [b""] * len(done["bin"])
+        return as_batch(out)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, size = Hashed(), 0
@@ -186,15 +233,8 @@ class Subtree:
         self.size = 0
 
     def add(self, row: dict[str, pa.Scalar]) -> None:
-        many = from_planes(row["many"], np.uint32)
-        ids = np.cumsum(from_planes(row["ids"], np.int64))
-        marks = from_planes(row["marks"], np.int64) if len(row["marks"].as_buffer()) else np.zeros(len(ids), np.int64)
-        steps = from_planes(row["starts"], np.uint32).astype(np.int64)
-        sums = np.cumsum(steps)
-        new = np.cumsum(many) - many
-        start = sums - np.repeat(sums[new] - steps[new], many)
-        name = np.frombuffer(row["names"].as_buffer(), np.uint64)
-        self.parts.append((from_planes(row["codes"], np.uint32), name, np.repeat(ids, many), np.repeat(marks, many), start.astype(np.int32)))
+        code, name = from_planes(row["codes"], np.uint32), from_planes(row["names"], np.uint64)
+        self.parts.append((code, name, *unpacked(row)))
         self.size += len(name)
 
     def repeats(self) -> tuple[np.ndarray, ...]:
@@ -220,35 +260,34 @@ class Subtree:
         return doc[over], mark[over], start[over]
 
 
-def repeated(dealt: DataFrame, most: int) -> DataFrame:
-    """(doc_id, mark, starts): packed starts of the suffixes to take out; groups come one by one."""
-
-    def rows_of(doc: np.ndarray, mark: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((start, mark, doc))
-        doc, mark, start = doc[order], mark[order], start[order]
-        cuts = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])]))
-        ends = np.append(cuts[1:], len(doc))
-        for i in range(0, len(cuts), ROWS):
-            a, b = cuts[i : i + ROWS], ends[i : i + ROWS]
-            packed = [np.unique(start[x:y]).tobytes() for x, y in zip(a, b)]
-            yield pa.RecordBatch.from_pydict({"doc_id": doc[a], "mark": mark[a], "starts": pa.array(packed, pa.binary())})
+def repeated(dealt: DataFrame, most: int, buckets: int) -> DataFrame:
+    """Packed suffixes to take out, by bucket of their document; groups are built one by one."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, tree, room = None, Subtree(), 2 * most
 
         def done() -> Iterator[pa.RecordBatch]:
-            found = tree.repeats()
-            if len(found[0]):
-                yield from rows_of(*found)
+            doc, mark, start = tree.repeats()
+            if len(doc):
+                order = np.lexsort((start, mark, doc))
+                doc, mark, start = doc[order], mark[order], start[order]
+                new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(mark) != 0)])
+                ids, marks, at = doc[new], mark[new], np.cumsum(new) - 1
+                rows = packed(bucket_of(ids, marks, buckets)[at], ids, marks, at, start)
+                yield as_batch({"bucket": rows.pop("bin"), **rows})
 
         for batch in batches:
             columns = {name: batch[name] for name in ("ids", "marks", "many", "starts", "codes", "names")}
             for i, at in enumerate(batch["bin"].to_pylist()):
+                row = {name: column[i] for name, column in columns.items()}
+                if at < 0:
+                    yield as_batch({"bucket": [-1 - at], **{k: [row[k].as_py()] for k in ("ids", "marks", "many", "starts")}})
+                    continue
                 if at != now:
                     if tree.size:
                         yield from done()
                     now, tree, room = at, Subtree(), 2 * most
-                tree.add({name: column[i] for name, column in columns.items()})
+                tree.add(row)
                 if tree.size >= room:
                     yield from done()
                     room = max(2 * most, 2 * tree.size)
@@ -256,7 +295,40 @@ def repeated(dealt: DataFrame, most: int) -> DataFrame:
             yield from done()
 
     grouped = dealt.repartition("bin").sortWithinPartitions("bin")
-    return grouped.mapInArrow(build, "doc_id long, mark long, starts binary")
+    return grouped.mapInArrow(build, f"bucket int, {PACK}")
+
+
+def by_document(found: DataFrame) -> DataFrame:
+    """(doc_id, mark, starts): where the suffixes to take out start, one row per document."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            doc, mark, start = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.lexsort((start, mark, doc))
+            doc, mark, start = doc[order], mark[order], start[order]
+            cuts = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(mark) != 0)]))
+            ends = np.append(cuts[1:], len(doc))
+            for i in range(0, len(cuts), ROWS):
+                a, b = cuts[i : i + ROWS], ends[i : i + ROWS]
+                lists = [start[x:y].tobytes() for x, y in zip(a, b)]
+                yield pa.RecordBatch.from_pydict({"doc_id": doc[a], "mark": mark[a], "starts": pa.array(lists, pa.binary())})
+
+        for batch in batches:
+            columns = {name: batch[name] for name in ("ids", "marks", "many", "starts")}
+            for i, at in enumerate(batch["bucket"].to_pylist()):
+                if at != now and held:
+                    yield from done()
+                now = at
+                held.append(unpacked({name: column[i] for name, column in columns.items()}))
+        if held:
+            yield from done()
+
+    grouped = found.repartition("bucket").sortWithinPartitions("bucket")
+    return grouped.mapInArrow(gather, "doc_id long, mark long, starts binary")
 
 
 CLEANED = "kept binary, n_words bigint, n_removed bigint, spans array<struct<start:bigint,words:bigint>>"
@@ -270,7 +342,7 @@ def taken_out(texts: pa.Array, starts: pa.Array, width: int) -> pa.Array:
         windows = windows.as_py()
         spans = []
         if windows:
-            at = np.unique(np.concatenate([np.frombuffer(x, np.int32) for x in windows]))
+            at = np.unique(np.frombuffer(windows, np.int32))
             breaks = np.flatnonzero(np.diff(at) > width)
             begin, end = at[np.concatenate([[0], breaks + 1])], at[np.append(breaks, len(at) - 1)] + width
             spans = [{"start": a, "words": b - a} for a, b in zip(begin.tolist(), end.tolist())]
@@ -315,13 +387,11 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     counts = prefix_counts(docs.where("doc_id is not null"), width)
     groups = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     most = int(np.clip(counts.sum() // groups, SMALL, GROUP))
-    dealt = suffixes(placed, width, *partition(counts, most))
-    found = stored(repeated(dealt, most), "repeats")
-    found = found.groupBy("doc_id", "mark").agg(F.collect_list("starts").alias("starts"))
-
-    lists = F.col("starts").cast("array<binary>")
-    both = placed.join(found, ["doc_id", "mark"], "left").select("kept", "text", lists.alias("starts"))
-    rest = docs.where("doc_id is null").select("kept", "text", F.lit(None).cast("array<binary>").alias("starts"))
+    first, parts = partition(counts, most)
+    buckets = int((first + parts).max())
+    found = stored(repeated(suffixes(placed, width, first, parts, buckets), most, buckets), "repeats")
+    both = placed.join(by_document(found), ["doc_id", "mark"], "left").select("kept", "text", "starts")
+    rest = docs.where("doc_id is null").select("kept", "text", F.lit(None).cast("binary").alias("starts"))
     clean = F.arrow_udf(lambda texts, starts: taken_out(texts, starts, width), CLEANED)
     out = both.unionByName(rest).select("kept", clean(F.col("text").cast("binary"), "starts").alias("c"))
     return out.select("kept.*", F.col("c.kept").cast("string").alias("text"), "c.n_words", "c.n_removed", "c.spans")
