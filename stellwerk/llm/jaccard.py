@@ -14,9 +14,10 @@ full.
 
 Sets whose first columns reach into the common ones (large groups of near copies) are first
 compared with one leader of each column, and with further ones as long as a column holds several
-components.  At last all sets of different components that meet in a column are compared.  So
-a group of n near copies takes about n comparisons, not n squared, and no link between components is
-lost.
+components.  What is left meets by column and by bands of both sizes: the sizes of a pair tell how
+many columns it has to share, and thus how few of them can come first.  So a group of n near copies
+takes about n comparisons, and members that differ from each other in too many places never
+meet; no link between components is lost.
 """
 
 from __future__ import annotations
@@ -39,8 +40,10 @@ COMMON = 64
 MEMO = 200_000
 #: Entries that a worker packs at a time.
 PACKED = 200_000
-#: Times that open columns are compared with one leader before all that is left is compared.
+#: Times that open columns are compared with one leader before the bands of sizes are.
 LEADERS = 2
+#: Sizes of one band differ by less than this factor.
+BAND = 1.03
 #: Words of 64 bits of a set's sketch, which bounds overlaps from above.
 SKETCH = 32
 #: Bits of a shingle's hash that are kept besides its block.
@@ -337,6 +340,69 @@ def counted(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(overlap, "a long, b long")
 
 
+def meetings(crowd: DataFrame, percent: int) -> DataFrame:
+    """(sig, root, n, s, column, low, high, lower, upper): where sets of a crowd may meet others.
+
+    Partners are told apart by bands of their size.  The larger a partner, the more shingles it
+    has to share, so the fewer of a set's first columns can be the first shared one: a set with many
+    shingles of its own has none at all for partners as large as itself.  ``low`` and ``high`` are
+    the bands of both, ``lower`` and ``upper`` tell on which sides the set may stand.
+    """
+
+    def band(n: int) -> int:
+        return int(np.log(n) / np.log(BAND))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {k: [] for k in ("sig", "root", "n", "s", "column", "low", "high")}
+            for r in batch.to_pylist():
+                n, rare = r["n"], len(r["rare"]) // 8
+                common = np.frombuffer(r["common"], np.uint64).view(np.int64)
+                own = n - rare - len(common)
+                mine = band(n)
+                for other in range(band(-(-percent * n // 100)), band(100 * n // percent) + 1):
+                    least = max(1, int(BAND**other))
+                    need = -(-percent * (n + least) // (100 + percent))
+                    first = common[: max(0, n - need + 1 - own - rare)]
+                    out["column"].append(first)
+                    for name, x in (("sig", r["sig"]), ("root", r["root"]), ("n", n), ("s", n - own), ("low", min(mine, other)), ("high", max(mine, other))):
+                        out[name].append(np.full(len(first), x, np.int64))
+            if out["sig"]:
+                flat = {k: np.concatenate(v) for k, v in out.items()}
+                same = flat["low"] == flat["high"]
+                size = np.array([band(n) for n in flat["n"]], np.int64)
+                flat |= {"lower": same | (size == flat["low"]), "upper": same | (size == flat["high"])}
+                yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in flat.items()})
+
+    types = "sig long, root long, n long, s long, column long, low long, high long, lower boolean, upper boolean"
+    return crowd.select("sig", "root", "n", "rare", "common").mapInArrow(meet, types)
+
+
+def crowded_pairs(crowd: DataFrame, root_of: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components that sizes, shared columns and sketches allow."""
+    met = meetings(crowd.join(root_of.select("sig", "root"), "sig"), percent)
+    keys = ["column", "low", "high"]
+    sides = met.groupBy(*keys).agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.max("lower").alias("lower"), F.max("upper").alias("upper")
+    )
+    met = met.join(sides.where("least < most and lower and upper").select(*keys), keys, "left_semi")
+    both = met.where("lower").alias("a").join(met.where("upper").alias("b"), keys)
+    need = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100 + percent))
+    both = both.where((F.col("a.root") != F.col("b.root")) & ((F.col("low") < F.col("high")) | (F.col("a.sig") < F.col("b.sig"))))
+    both = both.where((F.col("a.s") >= need) & (F.col("b.s") >= need) & comparable(F.col("a.n"), F.col("b.n"), percent))
+    pairs = both.select(F.least("a.sig", "b.sig").alias("x"), F.greatest("a.sig", "b.sig").alias("y")).distinct()
+    of = root_of.select("sig", "n", "s", "sketch")
+    pairs = pairs.join(of.alias("a"), F.col("x") == F.col("a.sig")).join(of.alias("b"), F.col("y") == F.col("b.sig"))
+    return pairs.where(bounded("a", "b", percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def open_members(columns: DataFrame, root_of: DataFrame) -> DataFrame:
+    """The entries (sig, column) of columns in which several components meet."""
+    members = columns.join(root_of.select("sig", "n", "s", "root"), "sig")
+    open_ = members.groupBy("column").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return members.join(open_.select("column"), "column", "left_semi")
+
+
 def links_of(rows: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect all sets that a chain of similar pairs connects."""
     shared = ((F.length("rare") + F.length("common")) / 8).alias("s")
@@ -358,41 +424,29 @@ def links_of(rows: DataFrame, percent: int) -> DataFrame:
     entry = ((F.length("rare") + F.length("common")) / 8).cast("long").alias("s")
     root_of = crowd.select("sig", "n", entry, "sketch").join(roots, "sig", "left")
     root_of = stored(root_of.select("sig", "n", "s", "sketch", F.coalesce("root", "sig").alias("root")), "roots")
-    for turn in range(LEADERS + 1):
-        members = columns.join(root_of.select("sig", "n", "s", "root"), "sig")
-        open_ = members.groupBy("column").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        members = stored(members.join(open_.select("column"), "column", "left_semi"), "open")
+    for turn in range(LEADERS):
+        members = stored(open_members(columns, root_of), "open")
         if members.isEmpty():
-            break
-        if turn < LEADERS:
-            # The first leaders are the sets with the fewest shingles of their own: what the
-            # others are copies of.
-            order = F.struct((F.col("n") - F.col("s") if turn == 0 else F.lit(0)).alias("own"), F.xxhash64("sig", F.lit(turn)).alias("draw"))
-            leader = members.groupBy("column").agg(F.min_by(F.struct("sig", "n", "root"), order).alias("leader"))
-            pairs = members.join(leader, "column").where(F.col("root") != F.col("leader.root"))
-            pairs = pairs.where(comparable(F.col("n"), F.col("leader.n"), percent)).select("sig", F.col("leader.sig").alias("other"))
-        else:
-            # Components that meet in a column: each set of the smaller one with each of the other.
-            own = members.select("column", "root").distinct()
-            met = own.join(own.toDF("column", "root_b"), "column").where("root < root_b").select("root", "root_b").distinct()
-            many = root_of.groupBy("root").agg(F.count("*").alias("many"))
-            met = met.join(many, "root").join(many.toDF("root_b", "many_b"), "root_b")
-            turned = F.when(F.col("many") <= F.col("many_b"), F.struct(F.col("root").alias("x"), F.col("root_b").alias("y")))
-            met = met.select(turned.otherwise(F.struct(F.col("root_b").alias("x"), F.col("root").alias("y"))).alias("m")).select("m.*")
-            few = met.join(root_of, F.col("x") == F.col("root")).select("y", "sig", "n", "s", "sketch").alias("f")
-            lots = root_of.alias("l")
-            pairs = few.join(lots, (F.col("f.y") == F.col("l.root")) & bounded("f", "l", percent))
-            pairs = pairs.select("f.sig", F.col("l.sig").alias("other"))
+            return links
+        # The first leaders are the sets with the fewest shingles of their own: what the
+        # others are copies of.
+        order = F.struct((F.col("n") - F.col("s") if turn == 0 else F.lit(0)).alias("own"), F.xxhash64("sig", F.lit(turn)).alias("draw"))
+        leader = members.groupBy("column").agg(F.min_by(F.struct("sig", "n", "root"), order).alias("leader"))
+        pairs = members.join(leader, "column").where(F.col("root") != F.col("leader.root"))
+        pairs = pairs.where(comparable(F.col("n"), F.col("leader.n"), percent)).select("sig", F.col("leader.sig").alias("other"))
         pairs = pairs.select(F.least("sig", "other").alias("a"), F.greatest("sig", "other").alias("b")).distinct()
         good = stored(counted(pairs, crowd, percent), "good")
         links = links.unionByName(good)
-        if turn < LEADERS:
-            ends = good.join(root_of.select(F.col("sig").alias("a"), F.col("root").alias("x")), "a")
-            ends = ends.join(root_of.select(F.col("sig").alias("b"), F.col("root").alias("y")), "b")
-            new = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")), "roots").toDF("root", "new")
-            root_of = root_of.join(new, "root", "left").select("sig", "n", "s", "sketch", F.coalesce("new", "root").alias("root"))
-            root_of = stored(root_of, "roots")
-    return links
+        ends = good.join(root_of.select(F.col("sig").alias("a"), F.col("root").alias("x")), "a")
+        ends = ends.join(root_of.select(F.col("sig").alias("b"), F.col("root").alias("y")), "b")
+        new = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")), "roots").toDF("root", "new")
+        root_of = root_of.join(new, "root", "left").select("sig", "n", "s", "sketch", F.coalesce("new", "root").alias("root"))
+        root_of = stored(root_of, "roots")
+    left = stored(open_members(columns, root_of).select("sig").distinct(), "left")
+    if left.isEmpty():
+        return links
+    pairs = stored(crowded_pairs(crowd.join(left, "sig"), root_of, percent), "pairs")
+    return links.unionByName(stored(counted(pairs, crowd, percent), "good"))
 
 
 def grouped(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -336,6 +336,25 @@ def test_groups_equal_all_pairs(spark, monkeypatch, common, packed):
     assert {r["n"] for r in out} == {1}
 
 
+def test_members_far_from_each_other_form_few_pairs(spark, monkeypatch):
+    """Hundreds of copies of one text, most of them too much changed to be linked with any other."""
+    draw = random.Random(3)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(400):
+        words = list(base)
+        for _ in range(draw.choice((0, 2, 4, 5, 6))):
+            words[draw.randrange(len(words))] = f"new{i}x{draw.randint(0, 9999)}"
+        rows.append((i, " ".join(words[: draw.choice((150, 150, 140))])))
+    formed = []
+    plain = jaccard.crowded_pairs
+    monkeypatch.setattr(jaccard, "crowded_pairs", lambda *a: formed.append(plain(*a)) or formed[-1])
+    frame = at_workers(spark).createDataFrame(rows, "doc_id long, text string")
+    out = jaccard.grouped(frame).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == grouped_plainly(rows)
+    alone = sum(r["doc_id"] == r["component_id"] for r in out)
+    assert alone > 100 and sum(f.count() for f in formed) < 3 * len(rows)
+
+
 def test_groups_of_nothing(spark):
     frame = at_workers(spark).createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert sorted((r[0], r[1], r[2]) for r in jaccard.grouped(frame).collect()) == [(1, 0, 1), (2, 0, 2)]
