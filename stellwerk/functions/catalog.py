@@ -118,6 +118,15 @@ def labels_in(text: Column, catalog: Catalog) -> Column:
     return bound(F.struct(*seen), collect)
 
 
+def united(catalog: Catalog, *labels: Column) -> Column:
+    """Labels found in several parts of an ad, once each, in catalog order.
+
+    Equals the labels of the parts joined by line breaks, as no pattern goes beyond a line.
+    """
+    every = F.array(*[F.lit(label) for label in dict.fromkeys(catalog.labels)]).cast("array<string>")
+    return F.array_intersect(every, reduce(F.array_union, labels))
+
+
 def mentions_in(text: Column, catalog: Catalog) -> Column:
     """array<struct<label, n>>: mentions of each label; a label may stand there repeatedly."""
     text = F.coalesce(text, F.lit(""))

@@ -91,9 +91,14 @@ def with_rating(
 ) -> DataFrame:
     """Add ``labels``, ``title_labels`` and ``rating``."""
     whole = F.concat_ws("\n", title, text)
-    labelled = ads.withColumns(
-        {"labels": labels_in(whole, catalog), "title_labels": labels_in(title, catalog)}
-    )
+    return with_rated_labels(ads, labels_in(whole, catalog), labels_in(title, catalog), profile)
+
+
+def with_rated_labels(
+    ads: DataFrame, labels: Column, title_labels: Column, profile: Profile
+) -> DataFrame:
+    """Add ``labels``, ``title_labels`` and ``rating``, the labels being known."""
+    labelled = ads.withColumns({"labels": labels, "title_labels": title_labels})
     return labelled.withColumn(
         "rating", rating(F.col("labels"), F.col("title_labels"), profile)
     )

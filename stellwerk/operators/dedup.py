@@ -7,13 +7,16 @@ the shuffle) and joined back by the row's own sequence number, which is unique.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellwerk import fixed
-from stellwerk.session import cut
+from stellwerk.operators.graphs import components
+from stellwerk.session import written
 
 
 def first_per_key(rows: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -76,6 +79,12 @@ def outcomes(
     )
 
 
+#: Plain rounds before the structure of what is left is looked at.
+PLAIN_ROUNDS = 3
+#: Rows of a component that one task decides in order.
+FOLD_ROWS = 100_000
+
+
 def two_key_dedup(
     rows: DataFrame, seq: str = "seq", ref: str = "referenznummer", fp: str = "fp"
 ) -> DataFrame:
@@ -85,50 +94,134 @@ def two_key_dedup(
     earlier acceptance and two passes of "first per key" do not give it.  Rounds do: a
     row that comes first among the remaining rows of both its keys is surely kept, and
     every row that shares a key with a kept row is surely out.  With keys in no special
-    order the number of rounds grows with the logarithm of the input.  Rows without
-    fingerprint compete by reference only, rows without reference are dropped.
+    order a few rounds do; what is left then falls into components of rows that share keys.
+    Components of up to ``FOLD_ROWS`` rows are decided in one pass each.  In larger ones a row that
+    waits for a single earlier row is decided against it, so a chain of such rows is followed
+    by doubling, and a round ends all chains at once.  Rows without fingerprint compete by
+    reference only, rows without reference are dropped.
     """
-    first_of_pair = F.min(seq).alias(seq)
     # Of equal (ref, fp) pairs only the first can be kept; copies end here.
     live = (
-        rows.filter(F.length(ref) > 0).groupBy(ref, fp).agg(first_of_pair).select(seq, ref, fp)
+        rows.filter(F.length(ref) > 0)
+        .groupBy(ref, fp)
+        .agg(F.min(seq).alias("seq"))
+        .select(
+            "seq",
+            F.concat(F.lit("r"), ref).alias("ref"),
+            # Rows without fingerprint get a key of their own, or they would all meet in one task.
+            F.coalesce(F.concat(F.lit("f"), fp), F.concat(F.lit("-"), F.col("seq").cast("string"))).alias("fp"),
+        )
     )
     kept: list[DataFrame] = []
-    while True:
-        by_ref = live.groupBy(ref).agg(F.min(seq).alias(seq))
-        by_fp = live.filter(F.col(fp).isNotNull()).groupBy(fp).agg(F.min(seq).alias(seq))
-        first_by_ref = by_ref.select(seq, F.lit(True).alias("_by_ref"))
-        first_by_fp = by_fp.select(seq, F.lit(True).alias("_by_fp"))
-        state = cut(
-            live.join(first_by_ref, seq, "left")
-            .join(first_by_fp, seq, "left")
-            .select(
-                seq,
-                ref,
-                fp,
-                (
-                    F.col("_by_ref").isNotNull()
-                    & (F.col(fp).isNull() | F.col("_by_fp").isNotNull())
-                ).alias("_won"),
-            )
-        )
-        winners = state.filter("_won")
+    for _ in range(PLAIN_ROUNDS):
+        state = written(_firsts(live))
+        winners = state.filter("by_ref and by_fp").select("seq", "ref", "fp")
         if winners.isEmpty():
             break
-        kept.append(winners.select(seq))
-        # Rows without fingerprint get a key of their own, or they would all meet in one task.
-        own_fp = F.coalesce(F.col(fp), F.concat(F.lit("-"), F.col(seq).cast("string")))
-        taken_fps = winners.select(own_fp.alias("_fp"))
-        live = (
-            state.filter(~F.col("_won"))
-            .join(winners.select(ref), ref, "left_anti")
-            .withColumn("_fp", own_fp)
-            .join(taken_fps, "_fp", "left_anti")
-            .select(seq, ref, fp)
-        )
+        kept.append(winners.select("seq"))
+        live = _without(state.filter("not (by_ref and by_fp)"), winners)
+    else:
+        kept += _structured(written(live))
     if not kept:
         return rows.limit(0)
-    return rows.join(reduce(DataFrame.unionAll, kept), seq, "left_semi")
+    return rows.join(reduce(DataFrame.unionAll, kept).withColumnRenamed("seq", seq), seq, "left_semi")
+
+
+def _firsts(live: DataFrame) -> DataFrame:
+    """(seq, ref, fp, by_ref, by_fp): is the row the first of its reference, of its fingerprint."""
+    for key in ("ref", "fp"):
+        first = live.groupBy(key).agg(F.min("seq").alias("seq")).select("seq", F.lit(True).alias(f"by_{key}"))
+        live = live.join(first, "seq", "left")
+    return live.select("seq", "ref", "fp", F.col("by_ref").isNotNull().alias("by_ref"), F.col("by_fp").isNotNull().alias("by_fp"))
+
+
+def _without(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows that share no key with a kept one."""
+    left = rows.select("seq", "ref", "fp").join(kept.select("ref"), "ref", "left_anti")
+    return left.join(kept.select("fp"), "fp", "left_anti").select("seq", "ref", "fp")
+
+
+def _structured(live: DataFrame) -> list[DataFrame]:
+    """The kept rows (seq) of what plain rounds have left."""
+    if live.isEmpty():
+        return []
+    root_of = components(live.select(F.col("ref").alias("a"), F.col("fp").alias("b")))
+    placed = written(live.join(root_of, F.col("ref") == F.col("node")).select("seq", "ref", "fp", "root"))
+    sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    small = placed.join(sizes.filter(F.col("n") <= FOLD_ROWS).select("root"), "root", "left_semi")
+    folded = small.repartition("root").sortWithinPartitions("root", "seq").mapInPandas(_fold, "seq long")
+    kept = [written(folded)]
+    live = written(placed.join(sizes.filter(F.col("n") > FOLD_ROWS).select("root"), "root", "left_semi").select("seq", "ref", "fp"))
+    while not live.isEmpty():
+        decided = written(_chained(live))
+        winners = live.join(decided.filter("keep").select("seq"), "seq", "left_semi")
+        kept.append(decided.filter("keep").select("seq"))
+        live = written(_without(live.join(decided.select("seq"), "seq", "left_anti"), winners))
+    return kept
+
+
+def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Decide the rows of one component after the other, in their order."""
+    now, taken = None, set()
+    for batch in batches:
+        out = []
+        for row, ref, fp, root in zip(batch["seq"], batch["ref"], batch["fp"], batch["root"]):
+            if root != now:
+                now, taken = root, set()
+            if ref not in taken and fp not in taken:
+                taken |= {ref, fp}
+                out.append(row)
+        yield pd.DataFrame({"seq": out}, dtype="int64")
+
+
+def _chained(live: DataFrame) -> DataFrame:
+    """(seq, keep): rows that wait for none, and all rows that depend on one of them by a chain.
+
+    A row waits for the earlier rows of its keys.  If there is just one, the row is kept exactly
+    if that one is not.  Following such rows back by doubling leads to a row that waits for
+    none, or to one that waits for several and has to wait for another round.
+    """
+    for key in ("ref", "fp"):
+        live = live.join(_first_two(live, key), "seq", "left")
+    place = lambda key: F.coalesce(f"{key}_place", F.lit(2))
+    many = place("ref") + place("fp")
+    state = written(
+        live.select(
+            "seq",
+            (many == 0).alias("free"),
+            # Only a row that waits for exactly one row points back.
+            F.when(many == 1, F.coalesce("ref_before", "fp_before")).alias("to"),
+        )
+    )
+    ends = state.filter("to is null").select("seq", "free")
+    end = ends.select(F.col("seq").alias("to"), F.lit(True).alias("_end"))
+    links = written(
+        state.filter("to is not null")
+        .join(end, "to", "left")
+        .select("seq", "to", F.lit(True).alias("odd"), F.col("_end").isNotNull().alias("arrived"))
+    )
+    while not links.filter("not arrived").isEmpty():
+        onward = links.select(
+            F.col("seq").alias("to"), F.col("to").alias("next"), F.col("odd").alias("more"), F.col("arrived").alias("there")
+        )
+        moved = links.filter("not arrived").join(onward, "to").select(
+            "seq", F.col("next").alias("to"), (F.col("odd") != F.col("more")).alias("odd"), F.col("there").alias("arrived")
+        )
+        # Dealt out anew, as the partitions of a union add up from round to round.
+        links = written(links.filter("arrived").unionAll(moved).repartition("seq"))
+    free = ends.filter("free").select("seq")
+    behind = links.join(free.withColumnRenamed("seq", "to"), "to", "left_semi")
+    return free.withColumn("keep", F.lit(True)).unionAll(behind.select("seq", ~F.col("odd")))
+
+
+def _first_two(live: DataFrame, key: str) -> DataFrame:
+    """(seq, place, before): the first two rows of every key and the row before the second."""
+    first = live.groupBy(key).agg(F.min("seq").alias("one"))
+    rest = live.join(first.select(F.col("one").alias("seq")), "seq", "left_anti")
+    second = rest.groupBy(key).agg(F.min("seq").alias("two")).join(first, key)
+    return first.select(
+        F.col("one").alias("seq"), F.lit(0).alias(f"{key}_place"), F.lit(None).cast("long").alias(f"{key}_before")
+    ).unionAll(second.select("two", F.lit(1), "one"))
 
 
 def cross_source_groups(

@@ -19,13 +19,11 @@ def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
     The sort is distributed; a row's number is its place in its own partition plus the
     rows of the partitions before.  The sorted rows are materialised, so that both parts
-    of the sum see the same partitions; so is the input, which the sort reads twice (it
-    samples its keys first).
+    of the sum see the same partitions.
     """
     per_partition = 1 << 33  # how monotonically_increasing_id counts
-    placed = cut(
-        cut(df).orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-    ).withColumn("_part", F.floor(F.col("_id") / per_partition))
+    placed = cut(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.floor(F.col("_id") / per_partition))
     # One row per partition of the sort.
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,6 +11,7 @@ from stellwerk import fixed
 from stellwerk.functions.status import status_from_cell
 from stellwerk.functions.text import casefold, filled, header_form, pair_key, ref_from_link, strip
 from stellwerk.operators.sizes import number_rows
+from stellwerk.session import cut
 
 ROW = "_row"
 LINK = "Link zur Ausschreibung"
@@ -82,13 +83,19 @@ def merge(
         late = name in automatic or overwrite
         return F.max_by(_c(name), order) if late else F.min_by(_c(name), order)
 
-    per_place = rows.groupBy(place.alias("_place")).agg(
-        F.min("target").alias("_target"),
-        F.min(seq).alias(seq),
-        F.count(F.lit(1)).alias("_count"),
-        *[folded(c).alias(f"_new {c}") for c in written if c in known],
+    per_place = cut(
+        rows.groupBy(place.alias("_place")).agg(
+            F.min("target").alias("_target"),
+            F.min(seq).alias(seq),
+            F.count(F.lit(1)).alias("_count"),
+            *[folded(c).alias(f"_new {c}") for c in written if c in known],
+        )
     )
-    both = existing.join(per_place, existing[ROW] == per_place["_target"], "full")
+    # Existing rows look their changes up; rows that are new have nothing to look for and are
+    # appended, instead of meeting under one empty key.
+    changes = per_place.filter("_target is not null")
+    kept = existing.join(changes, existing[ROW] == changes["_target"], "left")
+    both = kept.unionByName(per_place.filter("_target is null"), allowMissingColumns=True)
     touched = F.col("_place").isNotNull()
     cells = []
     for name in existing.columns:
@@ -180,7 +187,8 @@ def table_order(df: DataFrame, tail: Sequence[Column]) -> list[Column]:
 
 def ranked(df: DataFrame, tail: Sequence[Column]) -> DataFrame:
     """The table in its order, numbered from 1 in 'Nr.'."""
-    numbered = number_rows(df.drop("Nr."), table_order(df, tail), "Nr.")
+    # The sort samples its input before it reads it; ratings are not to be computed twice.
+    numbered = number_rows(cut(df.drop("Nr.")), table_order(df, tail), "Nr.")
     return numbered.withColumn("Nr.", _c("Nr.").cast("int"))
 
 

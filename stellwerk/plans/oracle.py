@@ -607,6 +607,19 @@ ORACLE: dict[str, str] = {
         )
         SELECT items.ref AS referenznummer, items.fp, l_orderkey, l_linenumber
         FROM items JOIN rounds ON rounds.seq = items.seq AND won""",
+    "two_key_chain": """
+        WITH linked AS (
+            SELECT o_orderkey AS seq, 'p' || o_orderkey // 2 AS ref,
+                CASE WHEN o_orderkey % 10007 <> 0 THEN 's' || (o_orderkey + 1) // 2 END AS fp
+            FROM orders
+        ),
+        chains AS (
+            SELECT *, sum(CASE WHEN lag_ref = ref OR lag_fp = fp THEN 0 ELSE 1 END) OVER (ORDER BY seq) AS chain
+            FROM (SELECT *, lag(ref) OVER (ORDER BY seq) AS lag_ref, lag(fp) OVER (ORDER BY seq) AS lag_fp
+                FROM linked)
+        )
+        SELECT seq, ref AS referenznummer, fp FROM chains
+        QUALIFY row_number() OVER (PARTITION BY chain ORDER BY seq) % 2 = 1""",
     "exclusion_reasons": _with(ADS, select=f"""
         SELECT reason, count(*) AS entries FROM (
             SELECT coalesce({_TITLE_REASON}, {_EMPLOYER_REASON}) AS reason FROM ads
@@ -767,7 +780,12 @@ ORACLE: dict[str, str] = {
     "tracker_merge": _with(ADS, TABLE_ROWS, select="SELECT * FROM merged"),
     "tracker_counts": _with(ADS, TABLE_ROWS, select="""
         SELECT count(*) FILTER (change = 'neu') AS new, CAST(sum(updates) AS BIGINT) AS updated,
-            0 AS removed FROM merged"""),
+            count(*) FILTER ("Referenz" <> '' AND (
+                "Referenz" IN (SELECT ref FROM ads JOIN main.labels USING (doc_id)
+                    WHERE """ + _STATUS + """ = 'UNINTERESSANT')
+                OR ("Status" = '' AND "Referenz" IN (SELECT ref FROM ads
+                    WHERE """ + _TITLE_REASON + """ IS NOT NULL)))) AS removed
+        FROM merged"""),
     "tracker_remove": _with(ADS, TABLE_ROWS, select=f"""
         SELECT row_no AS "_row", ref AS "Referenz", status AS "Status" FROM old_rows
         WHERE ref = '' OR NOT (

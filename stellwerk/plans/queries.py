@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from stellwerk import fixed, schema
 from stellwerk.functions.ad import ad_link, description, employer_name, requirement_text, source_name
-from stellwerk.functions.catalog import by_category, labels_in
+from stellwerk.functions.catalog import by_category, labels_in, united
 from stellwerk.functions.contact import contact, pay, pay_from_text
 from stellwerk.functions.dates import age_days, epoch_date_text, published_on
 from stellwerk.functions.defaults import BENEFITS
@@ -19,7 +19,7 @@ from stellwerk.functions.fingerprint import ad_fingerprint, claim_key, first_pla
 from stellwerk.functions.html import html_to_text
 from stellwerk.functions.places import location_label
 from stellwerk.functions.predicates import exclusion_text, passes
-from stellwerk.functions.score import gaps_text, hits_text, shown_points, with_rating
+from stellwerk.functions.score import gaps_text, hits_text, shown_points, with_rated_labels
 from stellwerk.functions.status import status_text
 from stellwerk.functions.text import (
     ellipsis,
@@ -50,6 +50,7 @@ from stellwerk.plans.tables import (
     EVENTS_AS_OF,
     PROFILE,
     ads,
+    extracted,
     postings,
     table,
     texts,
@@ -64,6 +65,7 @@ QUERIES: dict[str, Query] = {}
 
 # Parameters of single queries; the oracle uses the same values.
 IDLE_SECONDS = 7200
+CHAIN_ROWS = 10_007
 ARCHIVE_SINCE = dt.date(2024, 1, 10)
 ARCHIVE_AS_OF = dt.date(2025, 1, 15)
 SEEN_AS_OF = dt.datetime(1999, 1, 1, tzinfo=dt.UTC)
@@ -88,25 +90,23 @@ def _epoch(moment: dt.datetime) -> Column:
     return F.lit(int(moment.timestamp()))
 
 
-def ad_text() -> Column:
-    return requirement_text(
-        F.col("stellenangebotsTitel"),
-        F.col("hauptberuf"),
-        F.col("alleBerufe"),
-        F.col("stellenangebotsBeschreibung"),
-    )
+def _narrow_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column, Column]:
+    """Ads without their texts, and their labels: those of the text were found on its scan."""
+    narrow = extracted(spark, sf_dir, text_labels=labels_in(F.col("text"), CATALOG))
+    title = F.col("stellenangebotsTitel")
+    rest = requirement_text(title, F.col("hauptberuf"), F.col("alleBerufe"), F.col("closing"))
+    rest = F.concat_ws("\n", title, rest)
+    return narrow, united(CATALOG, F.col("text_labels"), labels_in(rest, CATALOG)), labels_in(title, CATALOG)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ads(spark, sf_dir).select(
-        "referenznummer", "tag", labels_in(ad_text(), CATALOG).alias("labels")
-    )
+    narrow, labels, _ = _narrow_labels(spark, sf_dir)
+    return narrow.select("referenznummer", "tag", labels.alias("labels"))
 
 
 def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_rating(
-        ads(spark, sf_dir), F.col("stellenangebotsTitel"), ad_text(), PROFILE, CATALOG
-    )
+    narrow, labels, title_labels = _narrow_labels(spark, sf_dir)
+    return with_rated_labels(narrow, labels, title_labels, PROFILE)
 
 
 def judged_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,6 +349,21 @@ def two_key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("referenznummer", "fp", "l_orderkey", "l_linenumber")
 
 
+@query
+def two_key_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that share a reference with the one before and a fingerprint with the one after.
+
+    Chains of some 10,000 rows each, in which the decision on a row depends on all rows before it.
+    """
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        key.alias("seq"),
+        F.concat(F.lit("p"), F.floor(key / 2).cast("string")).alias("referenznummer"),
+        F.when(key % CHAIN_ROWS != 0, F.concat(F.lit("s"), F.floor((key + 1) / 2).cast("string"))).alias("fp"),
+    )
+    return dedup.two_key_dedup(rows).select("seq", "referenznummer", "fp")
+
+
 @query
 def exclusion_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.when(F.col("o_orderstatus") != "F", fixed.FOUND).otherwise(fixed.APPLIED)
@@ -478,8 +493,9 @@ def work_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def benefit_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = labels_in(F.col("stellenangebotsBeschreibung"), BENEFITS)
-    return ads(spark, sf_dir).select("referenznummer", F.array_join(found, ", ").alias("benefits"))
+    narrow = extracted(spark, sf_dir, named=labels_in(F.col("text"), BENEFITS))
+    found = united(BENEFITS, F.col("named"), labels_in(F.col("closing"), BENEFITS))
+    return narrow.select("referenznummer", F.array_join(found, ", ").alias("benefits"))
 
 
 @query
@@ -721,11 +737,11 @@ def digest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def digest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = intake.Rules(profile=PROFILE, catalog=CATALOG)
     rich = intake.enriched(ads(spark, sf_dir), rules, None, F.lit(ADS_AS_OF))
-    narrow = rich.select(
-        "referenznummer", "quelle", "doc_id", F.col("tag").cast("timestamp").alias("ts"), "enrichment"
-    )
-    cut = batches.count_or_idle(narrow, "quelle", "ts", "doc_id", slot_seconds=86400 * 30)
-    return batches.digest_rows(cut).select(
+    # Batches depend on recipient and time only, so rows are put in order without their ratings.
+    narrow = extracted(spark, sf_dir).select("quelle", "doc_id", F.col("tag").cast("timestamp").alias("ts"))
+    cut = batches.count_or_idle(narrow, "quelle", "ts", "doc_id").drop("quelle", "ts")
+    rows = rich.select("referenznummer", "quelle", "doc_id", "enrichment").join(cut, "doc_id")
+    return batches.digest_rows(rows).select(
         "referenznummer",
         "quelle",
         "batch",
@@ -859,17 +875,22 @@ def tracker_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tracker_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an export does: new, updated and removed rows."""
     merged = tracker.merge(_table_rows(spark, sf_dir), _new_rows(spark, sf_dir))
-    return tracker.change_counts(merged)
+    return tracker.change_counts(tracker.with_removal(merged, *_unfit(spark, sf_dir)), F.col("removed"))
 
 
-@query
-def tracker_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _unfit(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """References to remove while untouched, and references to remove in any case."""
     listed = ads(spark, sf_dir).withColumn("status", F.lit(fixed.FOUND))
     unfit = entries.title_reasons(listed, F.col("stellenangebotsTitel")).dropna(subset=["reason"])
-    discarded = judged_refs(spark, sf_dir, fixed.DISCARDED)
     ref = F.col("referenznummer").alias(fixed.REF_COLUMN)
-    kept = tracker.remove(_table_rows(spark, sf_dir), unfit.select(ref), discarded.select(ref))
+    return unfit.select(ref), judged_refs(spark, sf_dir, fixed.DISCARDED).select(ref)
+
+
+@query
+def tracker_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = tracker.remove(_table_rows(spark, sf_dir), *_unfit(spark, sf_dir))
     return kept.select(tracker.ROW, fixed.REF_COLUMN, "Status")
 
 

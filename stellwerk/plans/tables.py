@@ -20,6 +20,7 @@ from stellwerk import fixed
 from stellwerk.functions.catalog import Catalog
 from stellwerk.functions.fingerprint import claim_key, content_fingerprint
 from stellwerk.functions.score import Profile
+from stellwerk.session import spread
 
 # Words that occur in the texts play the part of skills.
 CATALOG = Catalog.of(
@@ -68,14 +69,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are expensive to work on.
-
-    A scan gives one task per row group.  Where that leaves cores idle, as with the one row
-    group of a small table, the rows are dealt out first; a large table is never shuffled here.
-    """
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """A table whose rows are expensive to work on."""
+    return spread(table(spark, sf_dir, name))
 
 
 def _case(value: Column, texts: dict[object, str | Column], default: str = "") -> Column:
@@ -164,13 +159,8 @@ def closing_paragraph() -> Column:
     return F.concat_ws("\n", work, benefits, pay, contact)
 
 
-def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ad per document, in ad shape, with ``doc_id``, ``tag`` and ``o_orderstatus``.
-
-    Everything but the document text is joined first while rows are narrow; the text is
-    shuffled once, on its own key.
-    """
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an ad holds besides the text of its document; narrow rows, one per document."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
@@ -181,12 +171,15 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     )
-    facts = (
+    return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(parts, F.col("o_orderkey") == F.col("p_partkey"))
     )
-    rows = documents.join(facts, F.col("doc_id") == F.col("o_orderkey"))
+
+
+def _ad_columns() -> list[Column]:
+    """All columns of an ad but its description."""
     doc = F.col("doc_id").cast("string")
     size = F.col("p_size")
     none = F.lit(None)
@@ -199,8 +192,8 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         none.cast("double").alias("distanz"),
         none.cast("double").alias("entfernungKm"),
     )
-    return rows.select(
-        "doc_id",
+    return [
+        F.col("doc_id"),
         F.concat(F.lit("d"), doc).alias("referenznummer"),
         F.when(F.col("source") == "src0", fixed.AGENCY).otherwise(F.col("source")).alias("quelle"),
         title_of().alias("stellenangebotsTitel"),
@@ -214,9 +207,6 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         none.cast("double").alias("entfernungKm"),
         F.col("p_type").alias("hauptberuf"),
         F.array("p_type", "p_brand").alias("alleBerufe"),
-        F.concat(F.col("text"), F.lit("\n"), closing_paragraph()).alias(
-            "stellenangebotsBeschreibung"
-        ),
         none.cast("string").alias("stellenbeschreibung"),
         F.concat(F.lit("https://jobs.example/"), doc).alias("externeURL"),
         F.when(size % 10 == 0, (size * 2).cast("double")).alias("homeofficeprozent"),
@@ -224,8 +214,33 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderstatus") == "O").alias("homeofficemoeglich"),
         F.when(F.col("p_brand") == "Brand#5", "IG Metall").alias("tarifvertrag"),
         F.col("o_orderdate").cast("date").alias("tag"),
-        "o_orderstatus",
+        F.col("o_orderstatus"),
+    ]
+
+
+def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ad per document, in ad shape, with ``doc_id``, ``tag`` and ``o_orderstatus``.
+
+    Everything but the document text is joined first while rows are narrow; the text is
+    shuffled once, on its own key.
+    """
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    rows = documents.join(facts(spark, sf_dir), F.col("doc_id") == F.col("o_orderkey"))
+    whole = F.concat(F.col("text"), F.lit("\n"), closing_paragraph())
+    return rows.select(*_ad_columns(), whole.alias("stellenangebotsBeschreibung"))
+
+
+def extracted(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFrame:
+    """Ads without a description, with what ``columns`` draw from the document text.
+
+    The text is read on its scan and goes no further, so only narrow rows are joined.  The end
+    of the description, which is no part of the document, comes along as ``closing``.
+    """
+    documents = texts(spark, sf_dir, "documents").select(
+        "doc_id", "source", *[value.alias(name) for name, value in columns.items()]
     )
+    rows = documents.join(facts(spark, sf_dir), F.col("doc_id") == F.col("o_orderkey"))
+    return rows.select(*_ad_columns(), *columns, closing_paragraph().alias("closing"))
 
 
 def postings(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:

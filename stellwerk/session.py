@@ -20,6 +20,19 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+#: Setting with the number of partitions that a scan of texts is dealt out to; unset or 0: none.
+SPREAD = "stellwerk.spread"
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a scan, dealt out as ``SPREAD`` says.
+
+    A scan gives one task per row group.  A caller with few row groups and many cores sets the
+    number of partitions; a large table has row groups enough and is never shuffled for this.
+    """
+    partitions = int(rows.sparkSession.conf.get(SPREAD, "0"))
+    return rows.repartition(partitions) if partitions else rows
+
 
 def tuned(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session somebody else has made."""
@@ -55,6 +68,8 @@ def local_session(cpus: int | str = "*", memory: str = "16g", partitions: int =
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # The tables of one machine have few row groups.
+        .config(SPREAD, str(partitions))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -90,3 +105,14 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that later steps do not recompute it."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Like :func:`cut`, as a table in the shared folder.
+
+    For loops: a checkpoint hands what is known of its columns on to the next plan, and that
+    knowledge doubles with every round of a join with itself.
+    """
+    path = fresh_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

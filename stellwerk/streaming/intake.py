@@ -35,6 +35,8 @@ from stellwerk.operators.dedup import outcomes
 from stellwerk.operators.details import lacks_text, with_detail
 from stellwerk.session import adaptive
 from stellwerk.sources.messages import decode
+from stellwerk.sources.tables import write_archive
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -175,20 +177,10 @@ def process(
             "overwrite"
         ).parquet(folders.part("broken", batch_id))
         ads = decoded.filter("not broken").drop("body", "broken")
-        # Unfiltered and unchanged, before anything is decided.
-        (
-            ads.withColumns(
-                {
-                    "jahr": F.date_format("timestamp", "yyyy"),
-                    "monat": F.date_format("timestamp", "MM"),
-                    "tag": F.date_format("timestamp", "dd"),
-                }
-            )
-            .drop(*helpers)
-            .write.mode("overwrite")
-            .partitionBy("jahr", "monat", "tag")
-            .parquet(folders.part("raw", batch_id))
-        )
+        # Unfiltered and unchanged, before anything is decided.  The last arrival of a reference
+        # on a day replaces the ones before it, of this batch and of earlier ones.
+        raw = ads.withColumn("tag", F.col("timestamp").cast("date"))
+        write_archive(raw.drop(*(h for h in helpers if h != "seq")), folders.table("raw"))
         begin = ads.agg(F.min("erfasst_am")).scalar()
         seen = unexpired(read_table(spark, folders.table("seen"), SEEN_TABLE), begin)
         claims = read_table(spark, folders.table("claims"), CLAIM_TABLE).filter(

@@ -334,19 +334,50 @@ def naive_batches(rows, max_rows, idle):
     return result
 
 
-@pytest.mark.parametrize("slot", [10, 60, 100_000])
-def test_batches_equal_the_sequential_rule(spark, slot):
-    rng = random.Random(slot)
+@pytest.fixture
+def many_parts(spark):
+    """Small partitions stay apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("draw", [10, 60, 100_000])
+def test_batches_equal_the_sequential_rule(spark, many_parts, draw):
+    rng = random.Random(draw)
     begin = dt.datetime(2026, 1, 1)
     rows, t = [], begin
     for seq in range(150):
         t += dt.timedelta(seconds=rng.choice([0, 1, 5, 59, 60, 61, 400]) if seq % 10 == 0 else rng.choice([0, 1, 2]))
         rows.append((rng.choice("aaab"), t, seq))
     frame = spark.createDataFrame(rows, "k STRING, ts TIMESTAMP, seq INT")
-    cut = batches.count_or_idle(frame, "k", "ts", "seq", max_rows=7, idle_seconds=60, slot_seconds=slot)
+    cut = batches.count_or_idle(frame, "k", "ts", "seq", max_rows=7, idle_seconds=60)
     assert {r.seq: (r.row_no, r.batch) for r in cut.collect()} == naive_batches(rows, 7, 60)
 
 
+def test_batches_of_one_recipient_are_spread(spark, many_parts, monkeypatch):
+    """All rows under one key: every partition gets its share, and the carry is right."""
+    rng = random.Random(2)
+    rows, t = [(None, dt.datetime(2026, 1, 1), -1)], dt.datetime(2026, 1, 1)
+    for seq in range(4000):
+        t += dt.timedelta(seconds=rng.choice([0, 1, 30, 59, 61] if seq % 900 == 5 else [0, 1, 2]))
+        rows.append(("one", t, seq))
+    sizes = []
+    scanned = batches._scanned
+
+    def watched(*args):
+        out = scanned(*args)
+        sizes.extend(r["count"] for r in out.groupBy("_part").count().collect())
+        return out
+
+    monkeypatch.setattr(batches, "_scanned", watched)
+    frame = spark.createDataFrame(rows, "k STRING, ts TIMESTAMP, seq INT")
+    cut = batches.count_or_idle(frame, "k", "ts", "seq", max_rows=25, idle_seconds=60)
+    assert {r.seq: (r.row_no, r.batch) for r in cut.collect()} == naive_batches(rows[1:], 25, 60) | {-1: (1, 1)}
+    assert len(sizes) == 4 and max(sizes) < 2 * sorted(sizes)[2]
+    assert batches.count_or_idle(frame.limit(0), "k", "ts", "seq").count() == 0
+
+
 def test_gap_of_exactly_the_idle_time_closes(spark):
     t = dt.datetime(2026, 1, 1)
     rows = [("a", t, 1), ("a", t + dt.timedelta(seconds=60), 2), ("a", t + dt.timedelta(seconds=119), 3)]
@@ -554,3 +585,34 @@ def test_salary_lookup(spark):
     assert rows_of(found, "kldb", "niveau", "median", "q25", "q75", "fallzahl") == [
         ("43413", "n3", 5000, 4000, 0, 0), ("43414", None, None, None, None, None),
     ]
+
+
+# --- two keys ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("fold", [100_000, 4])
+def test_two_keys_in_any_order_equal_the_greedy_rule(spark, monkeypatch, fold):
+    monkeypatch.setattr(dedup, "FOLD_ROWS", fold)
+    rng = random.Random(fold)
+    rows = [(i, f"a{rng.randrange(120)}", rng.choice([None, f"b{rng.randrange(120)}"])) for i in range(400)]
+    rows += [(500 + i, f"c{i // 2}", f"d{(i + 1) // 2}") for i in range(40)] + [(900, "", "z"), (901, None, "z")]
+    frame = spark.createDataFrame(rows, "seq LONG, referenznummer STRING, fp STRING")
+    assert {r.seq for r in dedup.two_key_dedup(frame).collect()} == greedy([r for r in rows if r[1]])
+
+
+def test_a_long_chain_takes_one_round_of_doubling(spark, monkeypatch):
+    """10,000 rows in a row depend on each other; no rounds in their number are made."""
+    monkeypatch.setattr(dedup, "FOLD_ROWS", 10)
+    rounds, cuts = [], []
+    chained, plain = dedup._chained, dedup.written
+    monkeypatch.setattr(dedup, "_chained", lambda live: rounds.append(1) or chained(live))
+    monkeypatch.setattr(dedup, "written", lambda df: cuts.append(1) or plain(df))
+    key = F.col("id")
+    frame = spark.range(10_000).select(
+        key.alias("seq"),
+        F.concat(F.lit("a"), F.floor(key / 2).cast("string")).alias("referenznummer"),
+        F.concat(F.lit("b"), F.floor((key + 1) / 2).cast("string")).alias("fp"),
+    )
+    kept = dedup.two_key_dedup(frame)
+    assert sorted(r.seq for r in kept.select("seq").collect()) == list(range(0, 10_000, 2))
+    assert len(rounds) == 1 and len(cuts) < 30
