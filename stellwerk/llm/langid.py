@@ -122,17 +122,20 @@ class Model:
 def fit(labelled: DataFrame, per_language: int = 1000, most_items: int = 50_000) -> Model:
     """Fit on documents with columns doc_id, text and lang; rows without text or lang are left out.
 
-    ``per_language`` bounds the documents taken of each language (chosen by a hash of the
-    document's id), ``most_items`` the words and the n-grams of each length that are kept, the
-    most frequent ones.  Both bound what reaches the driver.
+    ``per_language`` bounds the different documents taken of each language (chosen by a hash of id
+    and text, so rows that are repeated or have no id are no case of their own), ``most_items`` the
+    words and the n-grams of each length that are kept, the most frequent ones.  Both bound what
+    reaches the driver.
     """
-    labelled = labelled.where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    labelled = labelled.where("lang is not null and text is not null").select(
+        "doc_id", "text", "lang", F.xxhash64("doc_id", "text", F.lit("language sample")).alias("draw")
+    )
+    sizes = {r["lang"]: r["count"] for r in labelled.select("lang", "draw").distinct().groupBy("lang").count().collect()}
     if not sizes:
         return Model([], [])
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, per_language / n)])
-    draw = (F.xxhash64("doc_id", F.lit("language sample")) / F.lit(2.0**64)) + 0.5
-    counts = counted(labelled.where(draw < share[F.col("lang")])).persist()
+    drawn = labelled.where(F.col("draw") / F.lit(2.0**64) + 0.5 < share[F.col("lang")])
+    counts = counted(drawn.dropDuplicates(["lang", "draw"]).drop("draw")).persist()
     try:
         rows = []
         for n in range(LONGEST + 1):
@@ -177,7 +180,10 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     ``score`` is the share of the best language when the evidence is divided by the square root
     of the number of words.  Texts that are missing, empty or without a letter, and all texts if
     nothing was learned, get ``und`` and 0.  Ties go to the language that comes first.  Rows are
-    independent of each other: repeated rows get the same answer, other columns stay as they are.
+    independent of each other: repeated rows get the same answer, other columns stay as they are
+    (columns named lang_pred or score are replaced).
     """
-    out = docs.withColumn("_said", predicted(docs, model))
-    return out.withColumns({"lang_pred": F.col("_said.lang"), "score": F.col("_said.score")}).drop("_said")
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = docs.select(F.struct(*columns).alias("kept"), "text")
+    out = kept.select("kept", predicted(kept, model).alias("said"))
+    return out.select("kept.*", F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"))
