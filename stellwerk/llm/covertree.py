@@ -122,10 +122,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     ``n_links`` counts the other rows a row is linked with, ``component_id`` is the smallest vec_id
     that links reach, ``kept`` says whether this is the row's own.  Rows without a label or
     whose vector is null, empty, zero or holds null or non-finite components are linked with nothing.  Rows of the
-    same vec_id are rows of their own; other columns stay.
+    same vec_id are rows of their own; other columns stay (columns named n_links, component_id or kept
+    are replaced).
     """
-    vectors = vectors.drop("n_links", "component_id", "kept")
-    names = vectors.columns
+    columns = [F.col(f"`{c}`") for c in vectors.columns if c not in ("n_links", "component_id", "kept")]
+    vectors = vectors.select(F.struct(*columns).alias("row"), "vec_id", "embedding", "label")
     x = F.col("embedding")
     usable = (
         F.col("label").isNotNull() & x.isNotNull() & (F.size(x) > 0)
@@ -146,10 +147,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     smallest = joined.groupBy("_root").agg(F.min("_id").alias("_smallest"))
     info = joined.join(smallest, "_root").select(*key, "_many", "_n", "_smallest")
     done = good.join(info, key).select(
-        *[F.col(f"`{c}`") for c in names], (F.col("_n") + F.col("_many") - 1).cast("long").alias("n_links"), F.col("_smallest").alias("component_id")
+        "row", "vec_id", (F.col("_n") + F.col("_many") - 1).cast("long").alias("n_links"), F.col("_smallest").alias("component_id")
     )
-    alone = rows.where("not _usable").select(*[F.col(f"`{c}`") for c in names], F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return done.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    alone = rows.where("not _usable").select("row", "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    kept = F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return done.unionByName(alone).select("row.*", "n_links", "component_id", kept)
 
 
 def links_of(points: DataFrame, cosine: float) -> DataFrame:
