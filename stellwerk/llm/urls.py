@@ -120,8 +120,9 @@ def judged(urls: DataFrame, rules: tuple[Rule, ...], default: str = DEFAULT) ->
 
     ``rule`` is the name of the rule that decides, null if none fits; then ``verdict`` is
     ``default``.  A URL that is missing or has no ``://`` has an empty host and path and fits
-    rules without tokens only.  Rows are judged one by one without a shuffle; the rule list is a
-    parameter of the job and goes to every worker once.
+    rules without tokens only.  Rows are judged one by one without a shuffle, repeated ones alike; the
+    rule list is a parameter of the job and goes to every worker once.  Other columns stay (those named
+    host, path, rule or verdict are replaced).
     """
     shared = urls.sparkSession.sparkContext.broadcast((rules, token_counts(urls, rules)))
     built: list[Index] = []
@@ -140,8 +141,10 @@ def judged(urls: DataFrame, rules: tuple[Rule, ...], default: str = DEFAULT) ->
             [pa.array([r[i] for r in rows], pa.string()) for i in range(4)], list(names)
         )
 
-    out = urls.withColumn("_judged", judge(F.col("url")))
-    return out.withColumns({k: F.col(f"_judged.{k}") for k in ("host", "path", "rule", "verdict")}).drop("_judged")
+    names = ("host", "path", "rule", "verdict")
+    columns = [F.col(f"`{c}`") for c in urls.columns if c not in names]
+    out = urls.select(F.struct(*columns).alias("kept"), judge(F.col("url")).alias("judged"))
+    return out.select("kept.*", *[F.col(f"judged.{k}").alias(k) for k in names])
 
 
 def rule_of(rule: Column, listed: tuple[Rule, ...] = SITES) -> Column:
