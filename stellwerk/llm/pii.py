@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from stellwerk.llm.common import stored
 
-MALE = ("Mr", "Herr", "Herrn", "Señor", "Sr", "Monsieur", "Господин", "господин")
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Mlle", "Госпожа", "госпожа")
+MALE = ("Mr", "Herr", "Herrn", "Señor", "Sr", "Don", "Monsieur", "Господин", "господин")
+FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Sra", "Doña", "Madame", "Mme", "Mlle", "Госпожа", "госпожа")
 
 _APART = r"(?<![\p{L}\p{N}])"
 _END = r"(?![\p{L}\p{N}])"
@@ -33,7 +33,7 @@ _NAME = r"\p{Lu}[\p{L}’'-]+(?: \p{Lu}[\p{L}’'-]+){0,2}"
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-][\p{L}\p{N}._%+-]*@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}",
     "key": _APART + r"A[KS]IA[0-9A-Z]{16}" + _END,
-    "secret": _BEFORE + r"(?=[A-Za-z+/_-]*\d)[A-Za-z0-9+/_-]{8,}",
+    "secret": _BEFORE + r"(?=[A-Za-z+/_!@#$%^&*-]*\d)[A-Za-z0-9+/_!@#$%^&*-]{8,}",
     "ip": r"(?<![\p{L}\p{N}.])" + _OCTET + r"(?:\." + _OCTET + r"){3}(?!\.?[\p{L}\p{N}])",
     "iban": _APART + r"[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?" + _END,
     "card": r"(?<![\p{L}\p{N}+])\d(?:[ -]?\d){12,18}" + _END,
@@ -42,7 +42,7 @@ KINDS = {
     r"\+\d{1,3}(?:[ .-]?(?:\(\d{1,5}\)|\d{1,5})){2,5}"
     r"|\(\d{2,5}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}"
     r"|0\d{1,4}[ /.-]\d{2,4}(?:[ .-]?\d{2,4}){1,3}"
-    r"|\d{3}[.-]\d{3}[.-]\d{4})" + _END,
+    r"|\d{3}[ .-]\d{3}[ .-]\d{4})" + _END,
     "man": _APART + "(?:" + "|".join(MALE) + r")\.? " + _NAME,
     "woman": _APART + "(?:" + "|".join(FEMALE) + r")\.? " + _NAME,
 }
@@ -65,8 +65,11 @@ GIVEN = {
     ("man", "Cyrillic"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Кирилл", "Лев", "Марк", "Никита", "Олег", "Павел", "Роман", "Семён", "Юрий"),
     ("woman", "Cyrillic"): ("Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Ирина", "Лидия", "Мария", "Нина", "Ольга", "Полина", "Раиса", "София", "Юлия"),
 }
-#: From this attempt on a replacement may equal another entity, or be longer than the entity.
+#: From this attempt on a replacement may be longer than the entity.
 RELAXED = 8
+#: From this attempt on a replacement may equal an entity of the corpus: as many draws of one form
+#: fail only where the corpus holds most of what this form can spell.
+FULL = 24
 
 
 def kind_of(mention: Column) -> Column:
@@ -242,7 +245,7 @@ def drawn_apart(entities: DataFrame, originals: DataFrame, key: str, done: DataF
     while True:
         drawn = stored(pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key, last)), "drawn")
         firsts = drawn.groupBy("surrogate").agg(F.min(F.struct("kind", "value")).alias("first"))
-        used = originals.select(F.col("value").alias("surrogate"), F.lit(RELAXED).alias("until"))
+        used = originals.select(F.col("value").alias("surrogate"), F.lit(FULL).alias("until"))
         if taken is not None:
             used = used.unionByName(taken.select("surrogate", F.lit(1 << 30).alias("until")))
         used = used.groupBy("surrogate").agg(F.max("until").alias("until"))

@@ -212,6 +212,9 @@ def test_near_vectors_equal_all_pairs(spark, monkeypatch, cell, residents):
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == linked_plainly(exact, 0.98)
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) and r["many"] == 3 for r in out)
     assert covertree.near_duplicates(frame.limit(0)).count() == 0
+    clashing = covertree.near_duplicates(frame.selectExpr("*", "'a' as _label", "2 as _x", "'b' as _usable", "1 as n_links"), 0.98)
+    assert clashing.columns == [*frame.columns, "_label", "_x", "_usable", "n_links", "component_id", "kept"]
+    assert {(r["vec_id"], r["component_id"], r["_label"]) for r in clashing.collect()} == {(r["vec_id"], r["component_id"], "a") for r in out}
 
 
 def test_cover_tree_levels_are_nested():

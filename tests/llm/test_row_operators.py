@@ -78,6 +78,17 @@ def test_language_of_odd_rows(spark):
     assert {r["lang_pred"] for r in langid.identified(odd, nothing).collect()} == {"und"}
 
 
+def test_language_sample_of_rows_without_ids_and_of_copies(spark):
+    """4,000 rows without an id, most of them copies of one text, and one language of few texts."""
+    rows = [(None, "das Haus und der Garten", "de")] * 3000 + [(None, f"the house number {i} and the garden", "en") for i in range(990)]
+    rows += [(i, f"la maison {i} et le jardin", "fr") for i in range(10)]
+    model = langid.fit(at_workers(spark).createDataFrame(rows, "doc_id long, text string, lang string"), per_language=20)
+    said = spark.createDataFrame([(1, "the house and", 1), (2, "und der Garten", 2), (3, "et le jardin", 3)], "doc_id long, text string, _said int")
+    out = langid.identified(said, model)
+    assert out.columns == ["doc_id", "text", "_said", "lang_pred", "score"]
+    assert {r["doc_id"]: r["lang_pred"] for r in out.collect()} == {1: "en", 2: "de", 3: "fr"}
+
+
 def test_unseen_words_fall_back_to_shorter_grams():
     model = langid.Model(["de", "en"], [(0, "en", "the", 5), (4, "de", "heit", 3), (2, "en", "th", 4), (1, "de", "ß", 2)])
     better = lambda word: model.langs[model.score([word]).argmax()]
@@ -186,3 +197,25 @@ def test_names_without_title_and_secrets_in_other_notations(spark):
     assert f"and Mrs {lee}'s dog. {ann} {lee}, {lee} and {marie} slept." in out[4]
     miller = out[4].split("Mr ")[1].removesuffix(" met ")
     assert out[4].endswith(f"Mr {miller} met Mr {given} {last}; {miller} left.")
+
+
+def test_more_titles_numbers_and_secrets(spark):
+    rows = [
+        (1, "Don Pedro Gómez saludó. Pedro Gómez se fue."),
+        (2, "Call 555 123 4567 now"),
+        (3, "password: p@ss!w0rd99 and passwd=hunter!2hunter"),
+        (4, "no secret, no name: the password is required"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_replaced", F.lit("x"))
+    out = {r["doc_id"]: (r["n_replaced"], r["text"]) for r in pii.replaced(frame).collect()}
+    assert out[4] == (0, rows[3][1])
+    for part in ("Pedro", "Gómez", "555 123", "p@ss", "hunter"):
+        assert not any(part in t for _, t in out.values()), part
+    assert out[2][1].startswith("Call 5") and out[3][1].startswith("password: ")
+
+
+def test_surrogates_of_one_kind_never_equal_an_entity(spark):
+    """Half of all two-digit hosts are entities: draws go on until one is free."""
+    rows = [(i, f"10.0.{i // 40}.{10 + i % 40}") for i in range(800)]
+    out = [r["text"] for r in pii.replaced(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(out)) == 800 and not set(out) & {t for _, t in rows}
