@@ -7,9 +7,10 @@ before its shuffle and no label can be too frequent.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellwerk import fixed
@@ -116,3 +117,66 @@ def unknown_terms(
 def report_terms(counts: DataFrame, k: int = 12) -> DataFrame:
     """Unknown terms worth showing: among the k most frequent, those in enough ads."""
     return top(counts, k, "term").filter(F.col("ads") >= fixed.MIN_TERM_ADS)
+
+
+# --- daily partials ---------------------------------------------------------------
+
+PARTIAL = "label STRING, ads BIGINT, tag DATE"
+
+
+def daily(ads: DataFrame, day: str = "tag") -> DataFrame:
+    """(label, ads, tag): ads of a day with a label, and under a null label all ads of the day.
+
+    Sums of these rows answer for any period what a run over its ads would.
+    """
+    each = F.array_union(F.array_distinct("labels"), F.array(F.lit(None).cast("string")))
+    rows = ads.select(F.explode(each).alias("label"), F.col(day).alias("tag"))
+    return rows.groupBy("label", "tag").agg(F.count(F.lit(1)).alias("ads")).select("label", "ads", "tag")
+
+
+def refresh(ads: DataFrame, days: DataFrame, path: str) -> None:
+    """Write the partials of the changed ``days`` (tag) anew; the partials of other days stay.
+
+    ``ads`` need to hold all ads of these days; only they are read.  A day whose ads are
+    gone keeps a row that says so.
+    """
+    days = days.select("tag").distinct()
+    fresh = daily(ads.join(days, "tag", "left_semi"))
+    empty = days.join(fresh, "tag", "left_anti").select(F.lit(None).cast("string").alias("label"), F.lit(0).cast("long").alias("ads"), "tag")
+    (
+        fresh.unionByName(empty)
+        .repartition("tag")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("tag")
+        .parquet(path)
+    )
+
+
+def read_partials(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """The partials of a period; other days are not opened."""
+    rows = spark.read.schema(PARTIAL).parquet(path)
+    return rows if since is None else rows.filter(F.col("tag") >= F.lit(since))
+
+
+def total_of(partials: DataFrame) -> Column:
+    """Number of ads, as a scalar subquery."""
+    return partials.filter("label is null").agg(F.coalesce(F.sum("ads"), F.lit(0))).scalar()
+
+
+def demand_of(partials: DataFrame) -> DataFrame:
+    """What :func:`demand` and :func:`with_share` say about the ads."""
+    counts = partials.filter("label is not null").groupBy("label").agg(F.sum("ads").alias("ads"))
+    return counts.withColumn("share", F.coalesce(F.try_divide(F.col("ads"), total_of(partials)), F.lit(0.0)))
+
+
+def monthly_of(partials: DataFrame) -> DataFrame:
+    """What :func:`monthly` says about the ads."""
+    named = partials.filter("label is not null").withColumn("month", F.date_format("tag", "yyyy-MM"))
+    return named.groupBy("month", "label").agg(F.sum("ads").alias("ads"))
+
+
+def against(counts: DataFrame, profile: Profile, in_profile: bool) -> DataFrame:
+    """Demand inside or outside of a profile, from counted labels."""
+    own = F.col("label").isin(*profile.skills)
+    return counts.filter(own if in_profile else ~own)

@@ -510,6 +510,46 @@ ORACLE: dict[str, str] = {
             count(*) FILTER (grade <> '{fixed.GRADE_D}') AS rated,
             count(*) FILTER (grade = '{fixed.GRADE_A}') AS grade_a,
             count(*) >= 10 AS meaningful FROM rated"""),
+    "trend_incremental": _trend(f"SELECT *, {_SHARE} FROM ({_count_of('true')})"),
+    "trend_history": _trend(
+        "SELECT label, {} FROM (SELECT tag, unnest(labels) AS label FROM labelled)"
+        " WHERE label IN (SELECT label FROM ({} ORDER BY ads DESC, label LIMIT {})) GROUP BY label"
+        " HAVING count(*) > 0".format(
+            ", ".join(
+                f"count(*) FILTER (strftime(tag, '%Y-%m') = '1996-{m:02}') AS \"1996-{m:02}\""
+                for m in range(1, 13)
+            ),
+            _count_of("true"),
+            fixed.HISTORY_ROWS,
+        )
+    ),
+    "catalog_labels": """
+        WITH rules AS (
+            SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS label FROM benchmark
+        ),
+        crc AS (
+            SELECT label, list_reduce(list_prepend(4294967295::UBIGINT,
+                list_transform(string_split(label, ''), lambda c: ord(c)::UBIGINT)),
+                lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda i: 0::UBIGINT)),
+                    lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)) AS inverted
+            FROM rules WHERE length(label) >= 5
+        ),
+        kinds AS (SELECT label, xor(inverted, 4294967295::UBIGINT) % 3 AS kind FROM crc),
+        seen AS (
+            SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+')) AS word FROM documents
+        ),
+        vocabulary AS (SELECT DISTINCT word FROM seen),
+        hits AS (
+            SELECT word, label FROM vocabulary JOIN kinds ON kind = 0 AND word = label
+            UNION ALL
+            SELECT word, label FROM vocabulary JOIN kinds ON kind = 1 AND substr(word, 1, 5) = substr(label, 1, 5)
+            UNION ALL
+            SELECT word, label FROM vocabulary JOIN kinds ON kind = 2 AND contains(word, substr(label, 2, 4))
+        ),
+        found AS (SELECT DISTINCT doc_id, label FROM seen JOIN hits USING (word))
+        SELECT doc_id, count(label)::INTEGER AS n_labels,
+            md5(coalesce(string_agg(label, ',' ORDER BY label), '')) AS digest
+        FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id""".replace("\\\\", "\\"),
     "unknown_terms": _with(_TERMS, select="SELECT term, ads FROM terms"),
     "report_terms": _with(
         _TERMS,
@@ -637,6 +677,17 @@ ORACLE: dict[str, str] = {
     "archive_retention": _with(POSTINGS, DAYS, select="""
         SELECT tag, count(*) AS ads FROM per_day
         WHERE tag >= DATE '2025-01-15' - INTERVAL 365 DAY GROUP BY tag"""),
+    "archive_roundtrip": _with(POSTINGS, select="""
+        , stored AS (SELECT * FROM postings
+            QUALIFY row_number() OVER (PARTITION BY ref, tag ORDER BY seq % 2, seq DESC) = 1)
+        SELECT ref AS referenznummer, tag, titel AS "stellenangebotsTitel", quelle FROM stored
+        WHERE tag >= DATE '2024-01-10'
+        QUALIFY row_number() OVER (PARTITION BY ref ORDER BY tag) = 1"""),
+    "landed_details": """
+        SELECT CAST(doc_id % 4 AS INTEGER) AS slice, count(*) AS lines,
+            count(*) FILTER (doc_id % 50 = 7) AS rejected,
+            count(*) FILTER (doc_id % 50 <> 7 AND doc_id % 11 = 3) AS without_ref
+        FROM documents GROUP BY 1""",
     "seen_retention": _with(ENTRIES, select=f"""
         SELECT ref AS referenznummer, status, expires AS ablauf_zeitpunkt FROM entries
         WHERE status <> 'GEFUNDEN' OR expires IS NULL OR expires > {_AS_OF_1999}"""),
@@ -674,6 +725,16 @@ ORACLE: dict[str, str] = {
     "contact_extract": _with(
         ADS, select=f"SELECT ref AS referenznummer, {_contact('beschreibung')} AS contact FROM ads"
     ),
+    "stated_details": _with(ADS, select=f"""
+        SELECT ref AS referenznummer,
+            CASE WHEN quality = 1 THEN 'Frau ' || upper(substr(first, 1, 1)) || lower(substr(first, 2)) || ' Muster · '
+                || concat_ws(' / ', CASE WHEN toxic = 0 THEN 'hr' || doc_id || '@firma.example'
+                    ELSE {_extract("beschreibung", contact.EMAIL)} END, '040 123')
+                ELSE {_contact("beschreibung")} END AS contact,
+            CASE WHEN toxic = 1 THEN 'nach Vereinbarung'
+                ELSE coalesce('nach Tarifvertrag (' || tarif || ')', {_pay("beschreibung")}) END AS pay,
+            base64(encode(ref)) AS encoded, replace(quelle || '/' || ref, '/', '_') AS path
+        FROM (SELECT *, split_part(titel, ' ', 1) AS first FROM ads) JOIN main.labels USING (doc_id)"""),
     "document_contacts": f"SELECT doc_id, {_contact('text')} AS contact FROM documents",
     "pay_extract": _with(ADS, select=f"""
         SELECT ref AS referenznummer, {_pay("beschreibung")} AS from_text,
@@ -801,6 +862,8 @@ ORACLE: dict[str, str] = {
                     ELSE 0 END,
                 grade, coalesce({_POINTS}, -1) DESC, {_AGE}, lower(firma), ref) AS "Nr."
         FROM (SELECT rated.*, {_STATUS} AS st FROM rated LEFT JOIN main.labels USING (doc_id))"""),
+    "table_decisions": _with(ADS, TABLE_ROWS, select="""
+        SELECT DISTINCT 'wording ' || row_no % 3 AS unknown FROM old_rows WHERE row_no % 7 = 0 AND ref <> ''"""),
     "schema_evolve": _with(ADS, TABLE_ROWS, select="""
         SELECT {}, eigenes AS "Eigenes" FROM old_rows""".format(", ".join(
         {"Status": "status", "Firma": "firma", "Position": "titel", "Gehalt": "gehalt",

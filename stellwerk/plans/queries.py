@@ -24,7 +24,9 @@ from stellwerk.functions.status import status_text
 from stellwerk.functions.text import (
     ellipsis,
     employer_form,
+    encoded_ref,
     pair_key,
+    path_safe,
     place_form,
     title_form,
 )
@@ -33,6 +35,7 @@ from stellwerk.operators import (
     archive,
     backtest,
     batches,
+    catalogs,
     dedup,
     details,
     entries,
@@ -56,8 +59,8 @@ from stellwerk.plans.tables import (
     texts,
     title_of,
 )
-from stellwerk.session import fresh_path, tuned
-from stellwerk.sources import feeds, messages
+from stellwerk.session import fresh_path, tuned, written
+from stellwerk.sources import feeds, messages, tables
 from stellwerk.streaming import digests, intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +69,7 @@ QUERIES: dict[str, Query] = {}
 # Parameters of single queries; the oracle uses the same values.
 IDLE_SECONDS = 7200
 CHAIN_ROWS = 10_007
+HISTORY_YEAR = 1996
 ARCHIVE_SINCE = dt.date(2024, 1, 10)
 ARCHIVE_AS_OF = dt.date(2025, 1, 15)
 SEEN_AS_OF = dt.datetime(1999, 1, 1, tzinfo=dt.UTC)
@@ -191,6 +195,46 @@ def trend_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trend.summary(rated(spark, sf_dir))
 
 
+@query
+def trend_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demand from daily partials after three arrivals, each of which changes part of the days."""
+    ads_now = labelled(spark, sf_dir).withColumn("part", F.substring("referenznummer", 2, 20).cast("long") % 3)
+    ads_now = written(ads_now)
+    path = fresh_path(spark, "partials")
+    for part in range(3):
+        days = ads_now.filter(F.col("part") == part).select("tag")
+        trend.refresh(ads_now.filter(F.col("part") <= part), days, path)
+    return trend.demand_of(trend.read_partials(spark, path))
+
+
+@query
+def trend_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most demanded labels with a column for each month of a year."""
+    months = [f"{HISTORY_YEAR}-{m:02}" for m in range(1, 13)]
+    return trend.history(labelled(spark, sf_dir), months)
+
+
+@query
+def catalog_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against a catalog as large as the vocabulary of the benchmark texts.
+
+    Every word of five letters or more is a rule: as a whole word, as the beginning of a word, or
+    with four of its letters anywhere.
+    """
+    word = F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("label")
+    found = table(spark, sf_dir, "benchmark").select(word).filter(F.length("label") >= 5).distinct()
+    number = F.crc32(F.col("label").cast("binary"))
+    pattern = (
+        F.when(number % 3 == 0, F.concat(F.lit(r"\b"), "label", F.lit(r"\b")))
+        .when(number % 3 == 1, F.concat(F.lit(r"\b"), F.substring("label", 1, 5)))
+        .otherwise(F.substring("label", 2, 4))
+    )
+    rules = number_rows(found.select("label", pattern.alias("pattern")), [F.col("label")], "pos")
+    labels = catalogs.labels_by_table(texts(spark, sf_dir, "documents"), rules, "doc_id", "text")
+    listed = F.array_join(F.array_sort("labels"), ",")
+    return labels.select("doc_id", F.size("labels").alias("n_labels"), F.md5(listed.cast("binary")).alias("digest"))
+
+
 @query
 def unknown_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trend.unknown_terms(texts(spark, sf_dir, "documents"), F.col("text"), CATALOG)
@@ -403,6 +447,33 @@ def archive_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("tag").agg(F.count(F.lit(1)).alias("ads"))
 
 
+@query
+def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals written into shared days, read back from a day on, first occurrences."""
+    posted = postings(spark, sf_dir).drop("ts", "prio", "ort", "fp")
+    path = fresh_path(spark, "archive")
+    for odd in (1, 0):
+        tables.write_archive(posted.filter(F.col("seq") % 2 == odd), path)
+    kept = tables.read_archive(spark, path, ARCHIVE_SINCE)
+    first = archive.first_occurrences(kept)
+    return first.select("referenznummer", "tag", "stellenangebotsTitel", "quelle")
+
+
+@query
+def landed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details landed as JSON lines in four folders: a part of the lines is cut short."""
+    path = fresh_path(spark, "landed")
+    doc = F.col("doc_id")
+    ref = F.when(doc % 11 != 3, F.concat(F.lit("d"), doc.cast("string"))).otherwise(F.lit(""))
+    line = F.to_json(F.struct(ref.alias("referenznummer"), F.col("text").alias("stellenangebotsBeschreibung")))
+    line = F.when(doc % 50 == 7, F.substring(line, 1, 20)).otherwise(line)
+    rows = table(spark, sf_dir, "documents").select(line.alias("value"), (doc % 4).alias("slice"))
+    rows.write.partitionBy("slice").text(path)
+    counts = tables.rejects(tables.landed(spark, path, schema.DETAIL))
+    part = F.regexp_extract("file", r"slice=(\d+)", 1).cast("int").alias("slice")
+    return counts.groupBy(part).agg(*[F.sum(c).alias(c) for c in ("lines", "rejected", "without_ref")])
+
+
 @query
 def seen_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = archive.unexpired(order_entries(spark, sf_dir), _epoch(SEEN_AS_OF))
@@ -505,6 +576,35 @@ def contact_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stated_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contact and pay where the detail view states them, else from the text."""
+    good = F.col("quality") == 1
+    mail = F.concat(F.lit("hr"), F.col("doc_id").cast("string"), F.lit("@firma.example"))
+    block = F.when(
+        good,
+        F.struct(
+            F.lit("Frau").alias("anrede"), F.lit("").alias("titel"), F.col("p_first").alias("vorname"),
+            F.lit("Muster").alias("nachname"), F.lit(None).cast("string").alias("name"),
+            F.when(F.col("toxic") == 0, mail).alias("email"), F.lit(None).cast("string").alias("mail"),
+            F.lit(None).cast("string").alias("telefon"), F.lit(" 040 123 ").alias("telefonnummer"),
+            F.lit(None).cast("string").alias("tel"), F.lit("x").alias("rufnummer"),
+        ),
+    )
+    first = F.initcap(F.element_at(F.split("stellenangebotsTitel", " "), 1))
+    stated = F.when(F.col("toxic") == 1, "nach Vereinbarung")
+    marked = ads(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id").withColumn("p_first", first)
+    marked = marked.withColumn("block", block)
+    text = F.col("stellenangebotsBeschreibung")
+    return marked.select(
+        "referenznummer",
+        contact(F.col("block"), text).alias("contact"),
+        pay(stated, F.lit(None).cast("string"), F.col("tarifvertrag"), text).alias("pay"),
+        encoded_ref("referenznummer").alias("encoded"),
+        path_safe(F.concat_ws("/", "quelle", "referenznummer")).alias("path"),
+    )
+
+
 @query
 def document_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark, sf_dir, "documents").select(
@@ -918,6 +1018,16 @@ def tracker_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracker.ranked(table_now, [F.col(fixed.REF_COLUMN)])
 
 
+@query
+def table_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions read from the tracker table, put into the seen table; wordings nobody knows."""
+    rows_ = _table_rows(spark, sf_dir)
+    odd = F.when(F.col(tracker.ROW) % 7 == 0, F.concat(F.lit("wording "), (F.col(tracker.ROW) % 3).cast("string")))
+    chosen = tracker.decisions(rows_.withColumn("Status", F.coalesce(odd, "Status")))
+    seen = ads(spark, sf_dir).select("referenznummer", F.lit(fixed.FOUND).alias("status"))
+    return entries.unknown_wordings(entries.read_back(seen, chosen))
+
+
 @query
 def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = _table_rows(spark, sf_dir).select(

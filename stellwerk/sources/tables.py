@@ -81,6 +81,28 @@ def read_archive(spark: SparkSession, path: str, since: dt.date | None = None) -
     return rows.withColumn("tag", day).drop("jahr", "monat")
 
 
+def landed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Landed JSON lines with the file they came from and, if a line is none, the line (``broken``)."""
+    layout = T.StructType.fromDDL(ddl).add("_broken", "string")
+    rows = spark.read.schema(layout).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").json(path)
+    return rows.withColumn("file", F.col("_metadata.file_path")).withColumnRenamed("_broken", "broken")
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The lines that could be read; ``file`` stays."""
+    return rows.filter(F.col("broken").isNull()).drop("broken")
+
+
+def rejects(rows: DataFrame, ref: str = "referenznummer") -> DataFrame:
+    """(file, lines, rejected, without_ref): what of each file could be used."""
+    good = F.col("broken").isNull()
+    return rows.groupBy("file").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(~good).alias("rejected"),
+        F.count_if(good & ~F.coalesce(F.length(ref) > 0, F.lit(False))).alias("without_ref"),
+    )
+
+
 def read_details(spark: SparkSession, path: str) -> DataFrame:
     """Details landed as one JSON object per line."""
     return spark.read.schema(schema.DETAIL).option("mode", "PERMISSIVE").json(path)
