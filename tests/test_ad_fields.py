@@ -355,3 +355,19 @@ def test_digest_margin(over):
     assert over(column, rows, "a INT, k DOUBLE") == [
         "heute veroeffentlicht · 8,2 km", "seit 3 Tagen online · 8 km", "",
     ]
+
+
+def test_references_equal_the_standard_rule(over):
+    import html
+    import random
+    from html.entities import html5
+
+    from stellwerk.functions.html import decoded
+
+    draw = random.Random(6)
+    names = sorted(html5)
+    texts = ["", "no reference", "&", "&&", "a & b", "&amp", "&ampx;", "&notit; &notin; &not", "&unknown; &x", "&#65;&#x41;&#X41", "&#0;&#13;&#128;&#x81;&#159;"]
+    texts += ["&#xD800;&#xDFFF;&#x110000;&#99999999999999999999;&#1;&#11;&#x7f;&#xfdd0;&#x1ffff;&#x10ffff;", "&#;&#x;&#xg;", "&#x1F600; &euro;&nbsp;x", "&#00065;"]
+    texts += [f"x&{draw.choice(names)}{draw.choice(['', ';', 'y', ' '])}&#{draw.randrange(70000)}{draw.choice(['', ';'])}" for _ in range(300)]
+    assert over(decoded(F.col("x")), texts) == [html.unescape(t) for t in texts]
+    assert over(decoded(F.col("x")), [None]) == [None]
