@@ -147,7 +147,7 @@ def filed(catalog: DataFrame) -> DataFrame:
             for part, alternative in enumerate(alternatives(pattern)):
                 whole = _WHOLE.fullmatch(alternative) is not None
                 for word, opens, closes in literals(alternative):
-                    if (opens and closes) or len(word) >= GRAM:
+                    if (opens and closes) or len(word) + opens + closes >= GRAM:
                         rows.append({"part": part, "word": word, "opens": opens, "closes": closes, "whole": whole})
             covered = {r["part"] for r in rows}
             found.append(rows if len(covered) == len(alternatives(pattern)) else [])
@@ -157,6 +157,12 @@ def filed(catalog: DataFrame) -> DataFrame:
     return each.select("pos", "x.*")
 
 
+def _framed(word: Column, opens: Column, closes: Column) -> Column:
+    """A word with a mark at the ends where a word of a text begins or ends."""
+    mark = lambda flag: F.when(flag, "\x01").otherwise("")
+    return F.concat(mark(opens), word, mark(closes))
+
+
 def _grams(word: Column) -> Column:
     starts = F.sequence(F.lit(1), F.greatest(F.length(word) - GRAM + 1, F.lit(1)))
     return F.array_distinct(F.transform(starts, lambda i: F.substr(word, i, F.lit(GRAM))))
@@ -166,13 +172,14 @@ def words_to_watch(vocabulary: DataFrame, rules: DataFrame) -> DataFrame:
     """(word, pos, whole): the words of the texts that call for a rule.
 
     ``vocabulary`` holds (word, texts).  Literals that are whole words meet it as such, others by
-    their rarest piece of ``GRAM`` letters.  Of the literals of an alternative the one in the
+    their rarest piece of ``GRAM`` signs, the border of a word being one.  Of the literals of an alternative the one in the
     fewest texts is taken; an alternative with a literal that no text has is left out.
     """
     wanted = rules.select("word", "opens", "closes").distinct()
     closed = wanted.filter("opens and closes").join(vocabulary, "word").select("word", "opens", "closes", F.col("word").alias("seen"), "texts")
-    open_ = wanted.filter("not (opens and closes)").withColumn("gram", F.explode(_grams(F.col("word"))))
-    pieces = vocabulary.filter(F.length("word") >= GRAM).select(F.col("word").alias("seen"), "texts", F.explode(_grams(F.col("word"))).alias("gram"))
+    open_ = wanted.filter("not (opens and closes)").withColumn("gram", F.explode(_grams(_framed(F.col("word"), F.col("opens"), F.col("closes")))))
+    whole = _framed(F.col("word"), F.lit(True), F.lit(True))
+    pieces = vocabulary.select(F.col("word").alias("seen"), "texts", F.explode(_grams(whole)).alias("gram"))
     often = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
     rarest = open_.join(often, "gram").groupBy("word", "opens", "closes").agg(F.min_by("gram", F.struct("often", "gram")).alias("gram"))
     fits = (
@@ -197,8 +204,8 @@ def labels_by_table(texts: DataFrame, catalog: DataFrame, key: str, text: str) -
 
     ``catalog`` has pos, label and pattern; ``key`` is unique in ``texts``.  Equals
     ``functions.catalog.labels_in`` with the same rows.  No part of the catalog or of the
-    texts passes through the driver.  Patterns without a literal of ``GRAM`` letters or a whole
-    word would run on every text; they are refused with a ValueError and belong into a small
+    texts passes through the driver.  Patterns without a whole word or a literal of ``GRAM`` signs
+    would run on every text; they are refused with a ValueError and belong into a small
     ``Catalog``.
     """
     rules = written(filed(catalog))

@@ -775,6 +775,47 @@ ORACLE: dict[str, str] = {
             AND (SELECT max(ts) FROM events) - max(ts) OVER (PARTITION BY event_type, batch)
                 < INTERVAL 7200 SECOND AS flushed
         FROM batched"""),
+    "stream_forwarded": _with(POSTINGS, OUTCOMES, """
+        forwarded AS (SELECT seq, ts, quelle, ref FROM postings SEMI JOIN
+            (SELECT seq FROM outcomes WHERE outcome = 'weitergereicht') USING (seq))""",
+        _batches("forwarded", "quelle", "seq", "7200 SECOND"), select="""
+        SELECT seq, quelle, ref AS referenznummer, batch = max(batch) OVER (PARTITION BY quelle)
+            AND count(*) OVER (PARTITION BY quelle, batch) < 25
+            AND (SELECT max(ts) FROM forwarded) - max(ts) OVER (PARTITION BY quelle, batch)
+                < INTERVAL 7200 SECOND AS flushed
+        FROM batched"""),
+    "stream_claims": _with(POSTINGS, select=f"""
+        , ads_in AS (SELECT *, epoch_us(ts) AS us FROM postings),
+        decided AS (SELECT 'view:' || user_id AS ref, event_id AS seq, epoch_us(ts) AS us FROM events
+            WHERE event_type = 'purchase' AND event_id % 3 = 0),
+        ref_next AS (
+            SELECT a.seq, a.ref, a.us, (SELECT arg_min(b.seq, (b.us, b.seq)) FROM ads_in b
+                WHERE b.ref = a.ref AND b.us >= a.us + 432000000000) AS next,
+                EXISTS (SELECT 1 FROM decided d WHERE d.ref = a.ref AND (d.us, d.seq) > (a.us, a.seq)
+                    AND d.us < a.us + 432000000000) AS decided
+            FROM ads_in a
+        ),
+        ref_walk(seq) AS (
+            SELECT seq FROM (SELECT ref, arg_min(seq, (us, seq)) AS seq FROM ads_in GROUP BY ref)
+            UNION ALL
+            SELECT n.next FROM ref_walk w JOIN ref_next n ON n.seq = w.seq WHERE NOT n.decided AND n.next IS NOT NULL
+        ),
+        fresh AS (SELECT * FROM ads_in SEMI JOIN ref_walk USING (seq)),
+        fp_next AS (
+            SELECT a.seq, a.fp, (SELECT arg_min(b.seq, (b.us, b.seq)) FROM fresh b
+                WHERE b.fp = a.fp AND b.us >= a.us + 432000000000) AS next
+            FROM fresh a WHERE a.fp IS NOT NULL
+        ),
+        fp_walk(seq) AS (
+            SELECT seq FROM (SELECT fp, arg_min(seq, (us, seq)) AS seq FROM fresh WHERE fp IS NOT NULL GROUP BY fp)
+            UNION ALL
+            SELECT n.next FROM fp_walk w JOIN fp_next n ON n.seq = w.seq WHERE n.next IS NOT NULL
+        )
+        SELECT p.seq, p.ref AS referenznummer, CASE WHEN f.seq IS NULL THEN 'bekannt'
+            WHEN p.fp IS NOT NULL AND w.seq IS NULL THEN 'doppelt'
+            WHEN {_REJECTED} THEN 'aussortiert' ELSE 'weitergereicht' END AS outcome
+        FROM postings p LEFT JOIN (SELECT DISTINCT seq FROM ref_walk) f ON f.seq = p.seq
+            LEFT JOIN (SELECT DISTINCT seq FROM fp_walk) w ON w.seq = p.seq""").replace("WITH \npostings", "WITH RECURSIVE \npostings", 1),
     "idle_batches": _with(_batches("events", "event_type", "event_id", "7200 SECOND").lstrip(),
         select="SELECT event_id, event_type, row_no, batch FROM batched"),
     "digest_summary": _with(POSTINGS, _batches("postings", "quelle", "seq", "7200 SECOND"),

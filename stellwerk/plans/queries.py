@@ -61,7 +61,7 @@ from stellwerk.plans.tables import (
 )
 from stellwerk.session import fresh_path, tuned, written
 from stellwerk.sources import feeds, messages, tables
-from stellwerk.streaming import digests, intake
+from stellwerk.streaming import claims, digests, intake
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +70,7 @@ QUERIES: dict[str, Query] = {}
 IDLE_SECONDS = 7200
 CHAIN_ROWS = 10_007
 HISTORY_YEAR = 1996
+CLAIM_DAYS = 5
 ARCHIVE_SINCE = dt.date(2024, 1, 10)
 ARCHIVE_AS_OF = dt.date(2025, 1, 15)
 SEEN_AS_OF = dt.datetime(1999, 1, 1, tzinfo=dt.UTC)
@@ -815,6 +816,57 @@ def stream_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.withColumn("flushed", F.lit(False)).unionByName(left)
 
 
+@query
+def stream_forwarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both streams one behind the other: what the intake forwards is read from its topic."""
+    folders = intake.Folders(fresh_path(spark, "intake"), buckets=8)
+    stream = _posting_messages(postings(spark, sf_dir, _event_stream(spark, sf_dir)))
+    intake.start(stream, folders, intake.Rules(), available_now=True).awaitTermination()
+    topic = messages.consume(spark, folders.table(messages.MATCHED_TOPIC))
+    arrived = messages.decode_matched(topic).select("seq", "ts", "quelle", "referenznummer")
+    keys = {"key": "quelle", "ts": "ts", "seq": "seq"}
+    sent_to = digests.Folders(fresh_path(spark, "digests"))
+    digests.start(arrived, sent_to, idle_seconds=IDLE_SECONDS, available_now=True, **keys).awaitTermination()
+    sent = digests.read_table(spark, sent_to.table("digests"), "seq BIGINT, quelle STRING, referenznummer STRING")
+    like = spark.createDataFrame([], arrived.schema)
+    rest = digests.flush(spark, sent_to, like, idle_seconds=IDLE_SECONDS, **keys)
+    columns = ("seq", "quelle", "referenznummer")
+    every = sent.select(*columns).withColumn("flushed", F.lit(False))
+    return every.unionByName(rest.select(*columns).withColumn("flushed", F.lit(True)))
+
+
+def _claim_messages(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    """Postings, and as a second kind of message what was decided: some purchases apply for the
+    job that others have viewed."""
+    posted = postings(spark, sf_dir, events)
+    ads_in = claims.ad_messages(posted, "referenznummer", F.col("seq"), "ts", F.col("fp"), _rejected())
+    bought = events.filter((F.col("event_type") == "purchase") & (F.col("event_id") % 3 == 0))
+    bought = bought.withColumn("viewed", F.concat(F.lit("view:"), F.col("user_id").cast("string")))
+    return ads_in.unionByName(claims.status_messages(bought, "viewed", F.lit(fixed.APPLIED), F.col("event_id"), "ts"))
+
+
+@query
+def stream_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims that end after some days, as keyed state over four micro-batches and a restart."""
+    claims.with_store(spark)
+    events = table(spark, sf_dir, "events")
+    folder, work = fresh_path(spark, "arrivals"), fresh_path(spark, "claims")
+
+    def run() -> None:
+        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        found = claims.outcomes(_claim_messages(spark, sf_dir, source), CLAIM_DAYS * 86400)
+        sink = found.writeStream.format("parquet").option("path", f"{work}/out")
+        sink.option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    for week in range(4):
+        part = events.filter(F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)) == week)
+        part.coalesce(1).write.mode("append").parquet(folder)
+        if week == 1:
+            run()  # stops here and goes on below from its checkpoint
+    run()
+    return spark.read.schema(claims.OUTCOME).parquet(f"{work}/out")
+
+
 # --- digests -------------------------------------------------------------------
 
 
@@ -927,11 +979,11 @@ def tracker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decision_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = ads(spark, sf_dir)
     keyed = every.select("doc_id", "referenznummer", claim_key(ad_fingerprint()).alias("fp"))
-    claims = (
+    claimed = (
         dedup.first_per_key(keyed.dropna(subset=["fp"]), ["fp"], "doc_id")
         .select("fp", F.col("referenznummer").alias("zuerst_gesehen_als"))
     )
-    return rows.decision_trace(_gathered(every), claims, PROFILE, CATALOG)
+    return rows.decision_trace(_gathered(every), claimed, PROFILE, CATALOG)
 
 
 def _new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

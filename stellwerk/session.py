@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import os
 import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,9 +37,15 @@ def spread(rows: DataFrame) -> DataFrame:
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session somebody else has made."""
+    """Apply the settings to a session somebody else has made.
+
+    Python workers on this machine find the library; on a cluster it is installed.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    root, paths = str(Path(__file__).parents[1]), spark.sparkContext.environment
+    if root not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), root]))
     return spark
 
 

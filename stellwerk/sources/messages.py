@@ -12,10 +12,14 @@ RAW_TOPIC = "jobs.raw"
 MATCHED_TOPIC = "jobs.matched"
 
 
-def keyed(ads: DataFrame, ref: str = "referenznummer") -> DataFrame:
-    """(key, value): rows without a reference cannot be recognised later and are left out."""
+def keyed(ads: DataFrame, ref: str = "referenznummer", more: tuple[str, ...] = ()) -> DataFrame:
+    """(key, value): rows without a reference cannot be recognised later and are left out.
+
+    The columns ``more`` stay beside the message instead of going into its body.
+    """
     named = ads.filter(F.length(ref) > 0)
-    return named.select(F.col(ref).alias("key"), F.to_json(F.struct("*")).alias("value"))
+    body = F.struct(*[F.col(f"`{c}`") for c in ads.columns if c not in more])
+    return named.select(F.col(ref).alias("key"), F.to_json(body).alias("value"), *more)
 
 
 def publish(
@@ -76,6 +80,13 @@ def consume(
     return reader.parquet(path)
 
 
+def decode_matched(messages: DataFrame) -> DataFrame:
+    """Ads of the matched topic with their ``enrichment``, seq (the offset) and ts."""
+    known = F.from_json("value", f"enrichment STRUCT<{schema.ENRICHMENT}>")["enrichment"]
+    ads = decode(messages.withColumn("enrichment", known))
+    return ads.withColumnRenamed("offset", "seq").withColumnRenamed("timestamp", "ts").drop("key", "partition", "broken")
+
+
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Replace the message body by the ad's columns and ``broken``.
 

@@ -34,7 +34,7 @@ from stellwerk.operators.archive import unexpired
 from stellwerk.operators.dedup import outcomes
 from stellwerk.operators.details import lacks_text, with_detail
 from stellwerk.session import adaptive
-from stellwerk.sources.messages import decode
+from stellwerk.sources.messages import MATCHED_TOPIC, decode, keyed
 from stellwerk.sources.tables import write_archive
 
 
@@ -88,6 +88,8 @@ def read_table(spark: SparkSession, path: str, ddl: str | T.StructType) -> DataF
         return spark.createDataFrame([], ddl)
 
 
+# Columns of a message on its way that are no part of the ad.
+HELPERS = ("key", "partition", "offset", "timestamp", "body", "broken", "seq", "fp", "erfasst_am", "outcome")
 SEEN_TABLE = schema.SEEN + ", batch_id BIGINT, bucket INT"
 CLAIM_TABLE = schema.CLAIM + ", batch_id BIGINT, bucket INT"
 
@@ -170,7 +172,6 @@ def process(
         .withColumn("erfasst_am", F.unix_timestamp("timestamp"))
         .persist()
     )
-    helpers = ("key", "partition", "offset", "timestamp", "body", "broken", "seq", "fp", "erfasst_am")
     try:
         # What is no JSON object is put aside, not lost and not in the way.
         decoded.filter("broken").select("key", "body", "partition", "offset").write.mode(
@@ -180,7 +181,7 @@ def process(
         # Unfiltered and unchanged, before anything is decided.  The last arrival of a reference
         # on a day replaces the ones before it, of this batch and of earlier ones.
         raw = ads.withColumn("tag", F.col("timestamp").cast("date"))
-        write_archive(raw.drop(*(h for h in helpers if h != "seq")), folders.table("raw"))
+        write_archive(raw.drop(*(h for h in HELPERS if h != "seq")), folders.table("raw"))
         begin = ads.agg(F.min("erfasst_am")).scalar()
         seen = unexpired(read_table(spark, folders.table("seen"), SEEN_TABLE), begin)
         claims = read_table(spark, folders.table("claims"), CLAIM_TABLE).filter(
@@ -212,6 +213,20 @@ def _write_batch(
         F.col("timestamp").cast("date"),
     )
     forwarded.write.mode("overwrite").parquet(folders.part("matched", batch_id))
+    # The matched topic: one keyed message per forwarded ad, what is known of it included.  A key
+    # stays in its partition, and its messages in the order of arrival.
+    body = [c for c in forwarded.columns if c not in HELPERS]
+    topic = forwarded.select("seq", "timestamp", *body)
+    topic = keyed(topic, more=("seq", "timestamp")).select(
+        "key",
+        "value",
+        F.pmod(F.xxhash64("key"), F.lit(folders.buckets)).cast("int").alias("partition"),
+        F.col("seq").alias("offset"),
+        "timestamp",
+    )
+    topic.repartition("partition").sortWithinPartitions("partition", "offset").write.mode(
+        "overwrite"
+    ).parquet(folders.part(MATCHED_TOPIC, batch_id))
     (
         result.select("referenznummer", "seq", "outcome")
         .write.mode("overwrite")
