@@ -34,6 +34,15 @@ def listing(entries: DataFrame) -> DataFrame:
     )
 
 
+def oldest_first(entries: DataFrame) -> DataFrame:
+    """In the order in which they were found; entries without a time come first."""
+    return entries.orderBy(*found_order())
+
+
+def found_order() -> list[Column]:
+    return [F.coalesce("erfasst_am", F.lit(0)), F.col("referenznummer")]
+
+
 def status_counts(entries: DataFrame) -> DataFrame:
     return entries.groupBy("status").agg(F.count(F.lit(1)).alias("entries"))
 

@@ -848,6 +848,21 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, CAST(floor(({_AS_OF_1999} - coalesce(changed, found)) / 86400.0) AS INTEGER)
                 AS tage FROM entries WHERE status IN ('BEWORBEN', 'INTERVIEW'))
         WHERE tage >= 14"""),
+    "oldest_found": _with(ENTRIES, select="""
+        SELECT row_number() OVER (ORDER BY found, ref) AS nr, ref AS referenznummer FROM entries"""),
+    "marker_rows": _with(ENTRIES, select="""
+        SELECT CASE WHEN changed IS NULL THEN 'GEFUNDEN' ELSE status END AS status, count(*) AS entries
+        FROM entries WHERE CAST(substr(ref, 2) AS BIGINT) % 10 <> 3 GROUP BY 1"""),
+    "status_updates": _with(ENTRIES, select=f"""
+        , moves AS (SELECT 'o' || l_orderkey AS ref,
+                CASE WHEN l_linestatus = 'F' THEN 'BEWORBEN' ELSE 'GEFUNDEN' END AS status
+            FROM lineitem WHERE l_returnflag = 'R'
+            QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC,
+                CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END DESC) = 1)
+        SELECT e.ref AS referenznummer, coalesce(m.status, e.status) AS status,
+            CASE WHEN m.ref IS NULL THEN changed ELSE {_AS_OF_1999} END AS geaendert_am,
+            CASE WHEN coalesce(m.status, '') = 'BEWORBEN' THEN NULL ELSE expires END AS ablauf_zeitpunkt
+        FROM entries e LEFT JOIN moves m USING (ref)"""),
     "read_back": _with(ENTRIES, select="""
         , cells AS (SELECT 'o' || l_orderkey AS ref, CASE WHEN l_returnflag = 'A'
                 THEN 'BEWORBEN' WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'ABSAGE'

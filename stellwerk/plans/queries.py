@@ -931,6 +931,41 @@ def overdue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def oldest_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries numbered in the order in which they were found."""
+    found = order_entries(spark, sf_dir).select("referenznummer", "erfasst_am")
+    return number_rows(found, entries.found_order(), "nr").select("nr", "referenznummer")
+
+
+@query
+def marker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content claims that stand among the entries are left out, a blank status is read as found;
+    entries without a reference make no message."""
+    blank = F.when(F.col("geaendert_am").isNull(), F.lit(" ")).otherwise(F.col("status"))
+    listed = order_entries(spark, sf_dir).withColumn("status", blank)
+    odd = F.substring("referenznummer", 2, 20).cast("long") % 10 == 3
+    listed = listed.withColumn("referenznummer", F.when(odd, F.lit("")).otherwise(F.col("referenznummer")))
+    marks = postings(spark, sf_dir).select("fp").dropna().distinct()
+    marks = marks.select(F.col("fp").alias("referenznummer"), F.lit(fixed.FOUND).alias("status"))
+    every = listed.unionByName(marks, allowMissingColumns=True)
+    kept = entries.ads_only(every).select("referenznummer", "status", "erfasst_am")
+    sent = messages.keyed(kept).select(F.col("key").alias("referenznummer"), F.get_json_object("value", "$.status").alias("status"))
+    return entries.status_counts(sent)
+
+
+@query
+def status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items change the status of their order; the last one counts."""
+    moved = F.when(F.col("l_linestatus") == "F", fixed.APPLIED).otherwise(fixed.FOUND)
+    changes = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(
+        F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("referenznummer"), moved.alias("status"), "l_linenumber"
+    )
+    seen = order_entries(spark, sf_dir)
+    after = entries.set_status(seen, changes, _epoch(SEEN_AS_OF), F.col("l_linenumber"))
+    return after.select("referenznummer", "status", "geaendert_am", "ablauf_zeitpunkt")
+
+
 @query
 def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items carry the decisions; the last one of an order counts."""

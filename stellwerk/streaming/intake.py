@@ -16,7 +16,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -88,6 +88,7 @@ def read_table(spark: SparkSession, path: str, ddl: str | T.StructType) -> DataF
         return spark.createDataFrame([], ddl)
 
 
+OUTCOMES = (fixed.KNOWN, fixed.DUPLICATE, fixed.EXCLUDED, fixed.FORWARDED)
 # Columns of a message on its way that are no part of the ad.
 HELPERS = ("key", "partition", "offset", "timestamp", "body", "broken", "seq", "fp", "erfasst_am", "outcome")
 SEEN_TABLE = schema.SEEN + ", batch_id BIGINT, bucket INT"
@@ -227,11 +228,21 @@ def _write_batch(
     topic.repartition("partition").sortWithinPartitions("partition", "offset").write.mode(
         "overwrite"
     ).parquet(folders.part(MATCHED_TOPIC, batch_id))
+    # Counted on the way, so that nobody has to read the outcomes again for a sum.
+    counted = Observation("outcomes")
     (
         result.select("referenznummer", "seq", "outcome")
+        .observe(counted, *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES])
         .write.mode("overwrite")
         .parquet(folders.part("outcomes", batch_id))
     )
+    counts = [(o, int(counted.get[o])) for o in OUTCOMES]
+    (
+        result.sparkSession.createDataFrame(counts, "outcome STRING, ads BIGINT")
+        .coalesce(1)
+        .write.mode("overwrite")
+        .parquet(folders.part("counts", batch_id))
+    )
     seen = fresh.select(
         "referenznummer",
         F.coalesce("stellenangebotsTitel", F.lit("")).alias("titel"),
@@ -285,6 +296,6 @@ def start(
 
 
 def outcome_counts(spark: SparkSession, folders: Folders) -> DataFrame:
-    """(outcome, ads) over all batches."""
-    rows = read_table(spark, folders.table("outcomes"), "outcome STRING, batch_id BIGINT")
-    return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("ads"))
+    """(outcome, ads) over all batches, from the counts that every batch has left."""
+    rows = read_table(spark, folders.table("counts"), "outcome STRING, ads BIGINT, batch_id BIGINT")
+    return rows.filter("ads > 0").groupBy("outcome").agg(F.sum("ads").alias("ads"))
