@@ -22,6 +22,8 @@ from stellwerk import schema
 from stellwerk.functions.text import CASELESS, bound, words
 
 
+#: Entries that a plan may hold.
+LARGEST = 500
 _WHOLE_WORDS = re.compile(r"\\b\w+\\b(?:\|\\b\w+\\b)*")
 _PLAIN = re.compile(r"[\w -]+(?:\|[\w -]+)*")
 
@@ -57,8 +59,13 @@ class Catalog:
 
     @classmethod
     def from_table(cls, table: DataFrame) -> Catalog:
-        """Read a caller's catalog table; its entries become part of the plans."""
-        rows = table.select("pos", "category", "label", "pattern").collect()
+        """Read a caller's small catalog table; its entries become part of the plans.
+
+        A table of more than ``LARGEST`` rows is refused: ``operators.catalogs`` joins it instead.
+        """
+        rows = table.select("pos", "category", "label", "pattern").limit(LARGEST + 1).collect()
+        if len(rows) > LARGEST:
+            raise ValueError(f"more than {LARGEST} rows: use operators.catalogs.labels_by_table")
         return cls.of((r.category, r.label, r.pattern) for r in sorted(rows))
 
     def to_table(self, spark: SparkSession) -> DataFrame:
