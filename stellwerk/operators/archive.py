@@ -48,9 +48,10 @@ def nearest_day(
 ) -> DataFrame:
     """Left join of entries to the archive: same day, else the day before, else after.
 
-    Each entry is looked up under its three days with an equality join, which spreads
-    even a very frequent reference by day, and the best of at most three hits stays.
-    Needs one archive row per reference and day and one entry per reference.
+    Each entry is looked up under its three days with an equality join on narrow rows, and
+    the best of at most three hits stays.  The archive's wide rows are moved once, to the
+    entry that wants their day.  Needs one archive row per reference and day and one entry
+    per reference.
     """
     tries = F.array(
         *[F.struct(F.lit(i).alias("pref"), F.lit(d).alias("d")) for i, d in enumerate(NEIGHBOUR_DAYS)]
@@ -68,10 +69,11 @@ def nearest_day(
     best = (
         present.groupBy(ref)
         .agg(F.min(F.struct("_pref", day)).alias("_best"))
-        .select(ref, F.col(f"_best.{day}").alias(day))
+        .select(ref, F.col(f"_best.{day}").alias("_day"))
     )
-    rows = best.join(archive, [ref, day])
-    return entries.join(rows, ref, "left")
+    # An entry without a hit asks under a day that has none; its reference keeps it apart.
+    dated = entries.join(best, ref, "left").withColumn("_day", F.coalesce("_day", found_day))
+    return dated.join(archive.withColumn("_day", F.col(day)), [ref, "_day"], "left").drop("_day")
 
 
 def within_retention(archive: DataFrame, as_of: Column, day: str = "tag") -> DataFrame:
