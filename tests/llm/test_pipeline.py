@@ -90,7 +90,7 @@ def test_stages_hand_on_documents(spark, sf_dir, sql):
     known = {r[0]: r for r in sql.sql("select doc_id, text, source from documents").fetchall()}
     at, kept = docs, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        at = stage(spark, at, sf_dir).localCheckpoint() if False else stage(spark, at, sf_dir).persist()
+        at = stage(spark, at, sf_dir).persist()
         assert [(f.name, f.dataType) for f in at.schema] == schema
         kept[name] = at.select("doc_id", "text").collect()
     assert len(kept["language"]) >= 0.95 * len(known)
