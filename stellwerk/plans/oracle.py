@@ -762,6 +762,11 @@ ORACLE: dict[str, str] = {
               keep=_WANTED),
         _feed(5, "'jobicy:' || doc_id", "jobicy", percent="100", keep=_WANTED),
     ])),
+    "feed_files": _with(ADS, select=f"""
+        SELECT 4 AS prio, 'remoteok:' || doc_id AS referenznummer, 'remoteok' AS quelle,
+            titel AS "stellenangebotsTitel", firma FROM ads WHERE {_WANTED}
+        UNION ALL SELECT 0, ref, 'arbeitsagentur', titel, firma FROM ads WHERE prozent >= 100
+        UNION ALL SELECT 6, 'intern:' || doc_id, 'intern', titel, firma FROM ads WHERE {_RECENT}"""),
     "message_roundtrip": _with(POSTINGS, select="""
         SELECT seq, ref AS referenznummer, titel AS "stellenangebotsTitel", fp AS claim
         FROM postings"""),

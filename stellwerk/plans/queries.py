@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -753,6 +754,50 @@ def feed_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _own_feed() -> dict[str, feeds.Feed]:
+    """The known feeds, the nationwide pass of the agency, and a feed of our own."""
+    item = "nr BIGINT, titel STRING, firma STRING, tag STRING"
+
+    def mapped(jobs: DataFrame) -> DataFrame:
+        nothing = F.lit("")
+        place = F.array(F.lit("20095 Hamburg"))
+        return jobs.select(*feeds.canonical("intern", F.col("nr").cast("string"), F.col("titel"), F.col("firma"), place, nothing, F.col("tag"), nothing))
+
+    def wanted(found: DataFrame, search: feeds.Search) -> DataFrame:
+        return found.filter(search.recent(F.col("datumErsteVeroeffentlichung")))
+
+    own = feeds.Feed("intern", item, "stellen", mapped, wanted)
+    agency = replace(feeds.FEEDS["arbeitsagentur"], item=schema.AD + ", ortsgebunden BOOLEAN")
+    return {**feeds.FEEDS, "arbeitsagentur": agency, "intern": own}
+
+
+@query
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed answers of three feeds, one of them our own, each with up to 500 jobs a file."""
+    base = extracted(spark, sf_dir).withColumn("file", F.floor(F.col("doc_id") / 500))
+    root = fresh_path(spark, "feeds")
+
+    def land(name: str, field: str | None, *columns: Column, notice: Column | None = None) -> None:
+        items = F.collect_list(F.to_json(F.struct(*columns)))
+        listed = items if notice is None else F.concat(F.array(notice), items)
+        body = F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]"))
+        whole = body if field is None else F.concat(F.lit(f'{{"{field}":'), body, F.lit("}"))
+        answers = base.groupBy("file").agg(whole.alias("value")).select("value")
+        answers.write.option("maxRecordsPerFile", 1).text(f"{root}/{name}")
+
+    title, employer, day = F.col("stellenangebotsTitel"), F.col("firma"), F.col("tag").cast("string")
+    doc = F.col("doc_id").cast("string")
+    land(
+        "remoteok", None, doc.alias("slug"), title.alias("position"), employer.alias("company"), day.alias("date"),
+        F.col("externeURL").alias("url"), notice=F.lit('{"legal": "a notice without a position"}'),
+    )
+    land("arbeitsagentur", "ergebnisliste", F.col("referenznummer"), title, employer, F.col("homeofficeprozent"), F.lit(False).alias("ortsgebunden"))
+    land("intern", "stellen", F.col("doc_id").alias("nr"), title.alias("titel"), employer.alias("firma"), day.alias("tag"))
+    paths = {name: f"{root}/{name}" for name in ("intern", "remoteok", "arbeitsagentur", "jobicy")}
+    found = feeds.collect(spark, paths, SEARCH, _own_feed())  # nothing has landed for jobicy
+    return found.select("prio", "referenznummer", "quelle", "stellenangebotsTitel", "firma")
+
+
 def _posting_messages(posted: DataFrame) -> DataFrame:
     """Postings as keyed messages in the shape of the raw topic."""
     location = F.struct(F.struct(F.lit("").alias("plz"), F.col("ort")).alias("adresse"))

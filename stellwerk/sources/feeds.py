@@ -295,16 +295,19 @@ def ads_of(
     return f.wanted(f.mapped(jobs), search)
 
 
-def union_feeds(frames: Mapping[str, DataFrame]) -> DataFrame:
+def union_feeds(
+    frames: Mapping[str, DataFrame], registry: Mapping[str, Feed] = FEEDS
+) -> DataFrame:
     """All feeds in order of priority; ``prio`` says which copy of a job is preferred."""
-    ordered = sorted(frames, key=lambda n: _priority(n))
-    parts = [frames[n].withColumn("prio", F.lit(_priority(n))) for n in ordered]
+    order = priorities(registry)
+    parts = [frames[n].withColumn("prio", F.lit(order[n])) for n in sorted(frames, key=order.get)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _priority(name: str) -> int:
-    order = fixed.FEED_ORDER
-    return order.index(name) if name in order else len(order)
+def priorities(registry: Mapping[str, Feed]) -> dict[str, int]:
+    """The known feeds in their fixed order, then what else is registered, in that order."""
+    added = [n for n in registry if n not in fixed.FEED_ORDER]
+    return {name: i for i, name in enumerate([*fixed.FEED_ORDER, *added])}
 
 
 def collect(
@@ -327,12 +330,14 @@ def collect(
             )
         except PySparkException as problem:
             log.warning("feed %s skipped: %s", name, problem)
-    return union_feeds(frames) if frames else None
+    return union_feeds(frames, registry) if frames else None
 
 
-def checked_names(names: Iterable[str] | None) -> tuple[str, ...]:
+def checked_names(
+    names: Iterable[str] | None, registry: Mapping[str, Feed] = FEEDS
+) -> tuple[str, ...]:
     """Names from a parameter, the default if blank; an unknown one raises."""
     chosen = tuple(n.strip().lower() for n in names or () if n.strip()) or fixed.DEFAULT_FEEDS
     for name in chosen:
-        feed(name)
+        feed(name, registry)
     return chosen
