@@ -47,6 +47,59 @@ def _catalog(text: str) -> Catalog:
 
 SKILLS = _catalog(
     r"""
+    # Arbeitsweise
+    Agile Arbeitsweise: agil*; kanban; safe
+    Anforderungsanalyse: anforderungsanalyse*; fachkonzept*; requirements-engineering
+    Datenschutz: datenschutz; dsgvo; gdpr
+    DevOps
+    Jira: jira; confluence
+    Scrum: scrum; sprint
+    Softwarearchitektur: softwarearchitektur*; architekturentwurf*; clean-code; verteilte-systeme
+    # Qualität
+    Code Review: code-review*; pull-request*; merge-request*
+    JUnit
+    Playwright: playwright; cypress
+    Selenium
+    Testautomatisierung: testautomat*; test-automation; automatisierte-tests
+    Unit-Tests: unit-test; unit-tests; modultest; modultests; tdd
+    # Betrieb
+    AWS: aws; amazon-web-services
+    Azure
+    CI/CD: /\bci ?[\/-]? ?cd\b/; continuous-integration; continuous-delivery
+    Docker: docker; container
+    GCP: gcp; google-cloud
+    Git: git; versionsverwaltung
+    GitHub
+    GitLab
+    Jenkins
+    Kubernetes: kubernetes; k8s; openshift
+    Linux: linux; unix
+    Monitoring: monitoring; logging; observability; grafana; prometheus
+    Serverless: serverless; lambda; cloud-functions
+    Terraform: terraform; iac; infrastructure-as-code
+    # Datenbanken
+    DynamoDB
+    Elasticsearch: elasticsearch; opensearch
+    MongoDB: mongodb; mongo
+    MySQL: mysql; mariadb
+    Oracle
+    PostgreSQL: postgres*
+    Redis
+    # Daten
+    Airflow
+    BigQuery
+    Databricks
+    Data Warehouse: data-warehouse*; data-lake*; dwh; lakehouse
+    dbt
+    ETL: etl; elt; data-pipeline*; datenpipeline*
+    Kafka
+    Machine Learning: machine-learning; deep-learning; maschinelles-lernen; ml-modell*
+    Pandas: pandas; numpy
+    Power BI: power-bi
+    Snowflake
+    Spark: spark; pyspark
+    SQL
+    Tableau
     # Programmieren
     Bash: bash; powershell; shell-skript*
     C#: c#; c-sharp; dotnet; /\B\.net\b/
@@ -60,7 +113,6 @@ SKILLS = _catalog(
     R: /(?-i:\bR\b) ?(?:,|\/|und) ?python\b/; r-studio
     Rust: =Rust
     Scala
-    SQL
     TypeScript
     # Bausteine
     Angular
@@ -76,58 +128,6 @@ SKILLS = _catalog(
     REST-APIs: rest; restful; api-entwicklung
     Spring: spring; spring-boot
     Vue: vue; vue.js
-    # Daten
-    Airflow
-    BigQuery
-    Databricks
-    Data Warehouse: data-warehouse*; data-lake*; dwh; lakehouse
-    dbt
-    ETL: etl; elt; data-pipeline*; datenpipeline*
-    Kafka
-    Machine Learning: machine-learning; deep-learning; maschinelles-lernen; ml-modell*
-    Pandas: pandas; numpy
-    Power BI: power-bi
-    Snowflake
-    Spark: spark; pyspark
-    Tableau
-    # Datenbanken
-    DynamoDB
-    Elasticsearch: elasticsearch; opensearch
-    MongoDB: mongodb; mongo
-    MySQL: mysql; mariadb
-    Oracle
-    PostgreSQL: postgres*
-    Redis
-    # Betrieb
-    AWS: aws; amazon-web-services
-    Azure
-    CI/CD: /\bci ?[\/-]? ?cd\b/; continuous-integration; continuous-delivery
-    Docker: docker; container
-    GCP: gcp; google-cloud
-    Git: git; versionsverwaltung
-    GitHub
-    GitLab
-    Jenkins
-    Kubernetes: kubernetes; k8s; openshift
-    Linux: linux; unix
-    Monitoring: monitoring; logging; observability; grafana; prometheus
-    Serverless: serverless; lambda; cloud-functions
-    Terraform: terraform; iac; infrastructure-as-code
-    # Qualität
-    Code Review: code-review*; pull-request*; merge-request*
-    JUnit
-    Playwright: playwright; cypress
-    Selenium
-    Testautomatisierung: testautomat*; test-automation; automatisierte-tests
-    Unit-Tests: unit-test; unit-tests; modultest; modultests; tdd
-    # Arbeitsweise
-    Agile Arbeitsweise: agil*; kanban; safe
-    Anforderungsanalyse: anforderungsanalyse*; fachkonzept*; requirements-engineering
-    Datenschutz: datenschutz; dsgvo; gdpr
-    DevOps
-    Jira: jira; confluence
-    Scrum: scrum; sprint
-    Softwarearchitektur: softwarearchitektur*; architekturentwurf*; clean-code; verteilte-systeme
     # Sprachen
     Deutsch: deutsch; deutschkenntnisse
     Englisch: englisch; englischkenntnisse; english
