@@ -80,7 +80,7 @@ def outcomes(
 
 
 #: Plain rounds before the structure of what is left is looked at.
-PLAIN_ROUNDS = 3
+PLAIN_ROUNDS = 6
 #: Rows of a component that one task decides in order.
 FOLD_ROWS = 100_000
 
