@@ -38,8 +38,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are compared like all others.  Of rows without a word one stays for each id.
     """
     at_workers(spark)
-    # Written with their numbers, as a second scan may be split, and so numbered, differently.
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), *COLUMNS), "rows")
+    # A row is known by its file and its place in it, however a scan is split.
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nth"))
+    rows = scanned(docs).select(place.alias("row"), *COLUMNS)
     named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row").alias("doc_id")
     least = jaccard.grouped(rows.select(named, "text")).where(F.col("doc_id") == F.col("component_id"))
     same = F.when(F.col("n_shingles") > 0, F.col("doc_id.row")).alias("same")
@@ -70,15 +71,20 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return full.sortWithinPartitions("position", "doc_id", "copy").select(*COLUMNS)
 
 
+def scanned(docs: DataFrame) -> DataFrame:
+    """``docs`` as a scan of files: a stage's input is one; anything else is stored first."""
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs = stored(docs, "ordered")
+    return docs
+
+
 def placed(docs: DataFrame) -> DataFrame:
     """``docs`` with ``position``, the place of each row: 0, 1, 2 ... along the files of a table.
 
     A scan packs files by size, so the order of its rows tells nothing.  Files follow each other by
     the number in their names.  What is no scan of files is stored first.
     """
-    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
-        docs = stored(docs, "ordered")
-    docs = docs.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("nth"))
+    docs = scanned(docs).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("nth"))
     # A row for each file: small enough for one task.
     files = docs.groupBy("file").agg((F.max("nth") + 1).alias("rows"))
     number = F.regexp_extract("file", r"^part-(\d+)", 1).try_cast("long")
