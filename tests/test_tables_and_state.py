@@ -6,10 +6,11 @@ import os
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from stellwerk import schema
+from stellwerk import fixed, schema
 from stellwerk.functions.catalog import Catalog, labels_in
 from stellwerk.functions.defaults import SKILLS
 from stellwerk.operators import catalogs, trend
@@ -188,3 +189,64 @@ def test_forwarded_ads_reach_the_digest_by_the_topic(spark, tmp_path):
     assert query.awaitTermination(200)
     sent = spark.read.parquet(to.table("digests")).collect()
     assert [(r.seq, r.enrichment.entfernung_km) for r in sorted(sent, key=lambda r: r.seq)] == [(1, 7.0), (3, 7.0)]
+
+
+class Entries:
+    """A map of a state store, in memory."""
+
+    def __init__(self):
+        self.held, self.asked = {}, 0
+
+    def getValue(self, key):  # noqa: N802
+        self.asked += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.held[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        self.held.pop(key, None)
+
+
+class Handle:
+    def getMapState(self, name, key, value, ttlDurationMs=None):  # noqa: N802, N803
+        return Entries()
+
+
+def test_one_call_decides_the_messages_of_many_references():
+    rng, keep = random.Random(3), 1000
+    columns = ["ref", "status", "seq", "us", "fp", "rejected"]
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([None, None, None, "BEWORBEN", fixed.FOUND]), i, 150 * i, None, False) for i in range(60)]
+    expected, ends, decided = {}, {}, {}
+    for ref, status, seq, us, _, _ in rows:
+        active = decided.get(ref, False) or ends.get(ref, -1) > us
+        if status is None:
+            expected[seq] = not active
+            if not active:
+                ends[ref] = us + keep
+        elif active:
+            decided[ref] = status != fixed.FOUND
+    judge = claims.References(keep, 1)
+    judge.init(Handle())
+    got = {}
+    for part in (rows[:25], rows[25:]):
+        shuffled = pd.DataFrame(rng.sample(part, len(part)), columns=columns)
+        for out in judge.handleInputRows((0,), iter([shuffled[:10], shuffled[10:]]), None):
+            got |= dict(zip(out["seq"], out["fresh"]))
+    assert got == expected and len(set(got.values())) == 2
+    assert judge.claims.asked == 8  # once for each reference and micro-batch
+
+
+def test_one_call_decides_the_ads_of_many_contents():
+    columns = ["seq", "ref", "us", "fp", "rejected", "fresh"]
+    first = [(1, "a", 0, "x", False, True), (2, "b", 5, "y", True, True), (3, "c", 10, "x", False, True), (4, "a", 20, None, False, False), (5, "d", 20, None, False, True)]
+    second = [(6, "e", 900, "y", False, True), (7, "f", 1000, "x", False, True), (8, "g", 1001, "x", False, True)]
+    judge = claims.Contents(1000, 1)
+    judge.init(Handle())
+    got = {}
+    for part in (first, second):
+        for out in judge.handleInputRows((0,), iter([pd.DataFrame(part, columns=columns)]), None):
+            got |= dict(zip(out["seq"], out["outcome"]))
+    forwarded, again = fixed.FORWARDED, fixed.DUPLICATE
+    assert got == {1: forwarded, 2: fixed.EXCLUDED, 3: again, 4: fixed.KNOWN, 5: forwarded, 6: again, 7: forwarded, 8: again}
+    assert judge.claims.asked == 4
