@@ -137,3 +137,19 @@ def in_order(mix: DataFrame) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in mix.columns if c != "takes"]
     takes = mix.select(*columns, F.explode("takes").alias("take")).select(*columns, "take.*")
     return takes.repartitionByRange("position", "doc_id", "copy").sortWithinPartitions("position", "doc_id", "copy")
+
+
+def read(docs: DataFrame) -> DataFrame:
+    """Every document with what the mix, made and put into the order of training, reads of it.
+
+    Needs what ``mixed`` needs.  The takes are written in their order, a partition a file; taken,
+    ``times`` and ``position`` (of the first take, null without one) are found in them.  A row is
+    known by a number, as ids may repeat or be missing.
+    """
+    # ``mixed`` stores the rows it reads, and their numbers with them.
+    mix = stored(mixed(docs.withColumn("row", F.monotonically_increasing_id())), "mixed")
+    order = stored(in_order(mix.select("row", "doc_id", "takes")), "order")
+    found = order.groupBy("row").agg(
+        F.sum("words").alias("taken"), F.count(F.lit(1)).cast("int").alias("times"), F.min("position").alias("position")
+    )
+    return mix.drop("takes", "taken").join(found, "row", "left").drop("row").fillna(0, ["taken", "times"])

@@ -54,11 +54,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of 150 % of all words takes of every document, and when it takes it first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mix = mixing.mixed(docs)
-    return mix.select(
-        "doc_id", "size", "source_size", "target", "taken",
-        F.size("takes").alias("times"), F.array_min(F.transform("takes", lambda x: x["position"])).alias("position"),
-    )
+    return mixing.read(docs).select("doc_id", "size", "source_size", "target", "taken", "times", "position")
 
 
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stellwerk.llm import bitslice, covertree, fixity, hmm, jaccard, mixing
 from stellwerk.llm.common import at_workers, components
+from stellwerk.llm.queries import op5_mixing
 
 
 def test_components_of_chains_and_stars(spark):
@@ -158,6 +159,23 @@ def test_mix_follows_the_schedule(spark):
     assert empty.count() == 0 and mixing.in_order(empty).count() == 0
 
 
+def test_the_query_reads_the_mix_in_its_order(spark, monkeypatch, tmp_path):
+    rows = [(i % 50, s, "w " * (i % 7)) for s in ("a", "b", None) for i in range(60)] + [(None, "a", "x y"), (None, "a", "x y"), (3, "b", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    made, in_order = [], mixing.in_order
+    monkeypatch.setattr(mixing, "in_order", lambda mix: made.append(in_order(mix)) or made[-1])
+    out = [tuple(r) for r in op5_mixing(spark, str(tmp_path)).collect()]
+    takes = made[0].collect()  # the mix itself, put into order
+    assert [r["position"] for r in takes] == sorted(r["position"] for r in takes)
+    assert sum(r[4] for r in out) == sum(r["words"] for r in takes) and sum(r[5] for r in out) == len(takes)
+    plain = [
+        (r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"], len(r["takes"]), min((x["position"] for x in r["takes"]), default=None))
+        for r in mixing.mixed(docs).collect()
+    ]
+    assert sorted(out, key=str) == sorted(plain, key=str) and any(r[5] == 0 for r in out)
+
+
 # -- vectors ------------------------------------------------------------------------------------
 
 
