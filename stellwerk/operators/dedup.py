@@ -79,8 +79,10 @@ def outcomes(
     )
 
 
-#: Plain rounds before the structure of what is left is looked at.
+#: Plain rounds before the structure of what is left is looked at, at the most.
 PLAIN_ROUNDS = 6
+#: Part of its rows that a plain round has to decide, or no other follows.
+PLAIN_SHARE = 0.25
 #: Rows of a component that one task decides in order.
 FOLD_ROWS = 100_000
 
@@ -94,45 +96,53 @@ def two_key_dedup(
     earlier acceptance and two passes of "first per key" do not give it.  Rounds do: a
     row that comes first among the remaining rows of both its keys is surely kept, and
     every row that shares a key with a kept row is surely out.  With keys in no special
-    order a few rounds do; what is left then falls into components of rows that share keys.
+    order a few rounds do; they go on as long as each decides a good part of its rows.  What is left
+    then falls into components of rows that share keys.
     Components of up to ``FOLD_ROWS`` rows are decided in one pass each.  In larger ones a row that
     waits for a single earlier row is decided against it, so a chain of such rows is followed
     by doubling, and a round ends all chains at once.  Rows without fingerprint compete by
     reference only, rows without reference are dropped.
+
+    Keys are texts only once: from then on a key goes by the number of its first row.
     """
     # Of equal (ref, fp) pairs only the first can be kept; copies end here.
     live = (
         rows.filter(F.length(ref) > 0)
-        .groupBy(ref, fp)
-        .agg(F.min(seq).alias("seq"))
-        .select(
-            "seq",
-            F.concat(F.lit("r"), ref).alias("ref"),
-            # Rows without fingerprint get a key of their own, or they would all meet in one task.
-            F.coalesce(F.concat(F.lit("f"), fp), F.concat(F.lit("-"), F.col("seq").cast("string"))).alias("fp"),
-        )
+        .groupBy(F.col(ref).alias("ref"), F.col(fp).alias("fp"))
+        .agg(F.min(seq).cast("long").alias("seq"))
     )
+    # Rows without fingerprint get a key of their own, or they would all meet in one task.
+    unnamed = live.filter("fp is null").select("seq", "ref", F.col("seq").alias("fp"))
+    named = written(live.filter("fp is not null"))
+    live = written(_renamed(named, "fp").unionAll(unnamed))
+    live = written(_renamed(live, "ref"))
     kept: list[DataFrame] = []
+    n = live.count()
     for _ in range(PLAIN_ROUNDS):
-        state = written(_firsts(live))
-        winners = state.filter("by_ref and by_fp").select("seq", "ref", "fp")
+        winners = live.filter("seq = ref and seq = fp").select("seq")
         if winners.isEmpty():
             break
-        kept.append(winners.select("seq"))
-        live = _without(state.filter("not (by_ref and by_fp)"), winners)
+        kept.append(winners)
+        left = _without(live.filter("seq <> ref or seq <> fp"), winners.select(F.col("seq").alias("ref"), F.col("seq").alias("fp")))
+        live = written(_renamed(_renamed(written(left), "fp"), "ref"))
+        before, n = n, live.count()
+        if n > (1 - PLAIN_SHARE) * before:
+            kept += _structured(live)
+            break
     else:
-        kept += _structured(written(live))
+        kept += _structured(live)
     if not kept:
         return rows.limit(0)
     return rows.join(reduce(DataFrame.unionAll, kept).withColumnRenamed("seq", seq), seq, "left_semi")
 
 
-def _firsts(live: DataFrame) -> DataFrame:
-    """(seq, ref, fp, by_ref, by_fp): is the row the first of its reference, of its fingerprint."""
-    for key in ("ref", "fp"):
-        first = live.groupBy(key).agg(F.min("seq").alias("seq")).select("seq", F.lit(True).alias(f"by_{key}"))
-        live = live.join(first, "seq", "left")
-    return live.select("seq", "ref", "fp", F.col("by_ref").isNotNull().alias("by_ref"), F.col("by_fp").isNotNull().alias("by_fp"))
+def _renamed(live: DataFrame, key: str) -> DataFrame:
+    """(seq, ref, fp) with the number of a key's first row in place of the key.
+
+    Numbers tell the keys of one kind apart as well as the keys do, as a row has one of them.
+    """
+    first = live.groupBy(key).agg(F.min("seq").alias("_first"))
+    return live.join(first, key).withColumn(key, F.col("_first")).select("seq", "ref", "fp")
 
 
 def _without(rows: DataFrame, kept: DataFrame) -> DataFrame:
@@ -142,16 +152,20 @@ def _without(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def _structured(live: DataFrame) -> list[DataFrame]:
-    """The kept rows (seq) of what plain rounds have left."""
+    """The kept rows (seq) of what plain rounds have left; keys are the numbers of first rows."""
     if live.isEmpty():
         return []
-    root_of = components(live.select(F.col("ref").alias("a"), F.col("fp").alias("b")))
-    placed = written(live.join(root_of, F.col("ref") == F.col("node")).select("seq", "ref", "fp", "root"))
-    sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    small = placed.join(sizes.filter(F.col("n") <= FOLD_ROWS).select("root"), "root", "left_semi")
+    to = lambda key: live.select(F.col("seq").alias("a"), F.col(key).alias("b"))
+    root_of = components(to("ref").unionAll(to("fp")))
+    # A row that shares no key is a component of its own.
+    placed = live.join(root_of, F.col("seq") == F.col("node"), "left")
+    placed = written(placed.select("seq", "ref", "fp", F.coalesce("root", "seq").alias("root")))
+    # Of large components there are few, by their size.
+    large = F.broadcast(placed.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FOLD_ROWS).select("root"))
+    small = placed.join(large, "root", "left_anti").select("seq", "ref", "fp", "root")
     folded = small.repartition("root").sortWithinPartitions("root", "seq").mapInPandas(_fold, "seq long")
     kept = [written(folded)]
-    live = written(placed.join(sizes.filter(F.col("n") > FOLD_ROWS).select("root"), "root", "left_semi").select("seq", "ref", "fp"))
+    live = written(placed.join(large, "root", "left_semi").select("seq", "ref", "fp"))
     while not live.isEmpty():
         decided = written(_chained(live))
         winners = live.join(decided.filter("keep").select("seq"), "seq", "left_semi")
@@ -162,14 +176,15 @@ def _structured(live: DataFrame) -> list[DataFrame]:
 
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Decide the rows of one component after the other, in their order."""
-    now, taken = None, set()
+    now, refs, fps = None, set(), set()
     for batch in batches:
         out = []
         for row, ref, fp, root in zip(batch["seq"], batch["ref"], batch["fp"], batch["root"]):
             if root != now:
-                now, taken = root, set()
-            if ref not in taken and fp not in taken:
-                taken |= {ref, fp}
+                now, refs, fps = root, set(), set()
+            if ref not in refs and fp not in fps:
+                refs.add(ref)
+                fps.add(fp)
                 out.append(row)
         yield pd.DataFrame({"seq": out}, dtype="int64")
 

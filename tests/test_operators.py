@@ -616,3 +616,40 @@ def test_a_long_chain_takes_one_round_of_doubling(spark, monkeypatch):
     kept = dedup.two_key_dedup(frame)
     assert sorted(r.seq for r in kept.select("seq").collect()) == list(range(0, 10_000, 2))
     assert len(rounds) == 1 and len(cuts) < 30
+
+
+def test_long_chains_move_few_bytes_a_row(spark, monkeypatch):
+    """What the steps write stays in proportion to the rows, as no round passes all of them again."""
+    from stellwerk.operators import graphs
+
+    sizes, plain = [], dedup.written
+
+    def counted(df):
+        out = plain(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(dedup, "written", counted)
+    monkeypatch.setattr(graphs, "written", counted)
+    key, n = (F.col("id") * 7919) % 20_000, 20_000  # chains in no order of their rows' files
+    frame = spark.range(n).select(
+        key.alias("seq"),
+        F.concat(F.lit("a"), F.floor(key / 2).cast("string")).alias("referenznummer"),
+        F.when(key % 5000 != 0, F.concat(F.lit("b"), F.floor((key + 1) / 2).cast("string"))).alias("fp"),
+    )
+    kept = dedup.two_key_dedup(frame)
+    assert sorted(r.seq for r in kept.select("seq").collect()) == list(range(0, n, 2))
+    assert sum(sizes) < 16 * n
+
+
+def test_components_of_paths_stars_and_pairs(spark):
+    from stellwerk.operators.graphs import components
+
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1001 + i) for i in range(200)] + [(5000, 5001), (5001, 5000), (6000, 6000)]
+    found = components(spark.createDataFrame(random.Random(1).sample(edges, len(edges)), "a LONG, b LONG")).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r.root, set()).add(r.node)
+    assert all(root in nodes for root, nodes in groups.items())
+    assert sorted(map(sorted, groups.values())) == [list(range(301)), list(range(1000, 1201)), [5000, 5001]]
+    assert components(spark.createDataFrame([], "a LONG, b LONG")).count() == 0
