@@ -2,12 +2,14 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from stellwerk import fixed, schema
 from stellwerk.functions import dates
 from stellwerk.functions.ad import ad_link, requirement_text, source_name
 from stellwerk.functions.contact import contact, contact_address, contact_person, pay, pay_from_text
 from stellwerk.functions.defaults import BENEFITS, CITIES, SKILLS
-from stellwerk.functions.catalog import labels_in, mentions_in
+from stellwerk.functions.catalog import Catalog, Entry, labels_in, mentions_in
 from stellwerk.functions.digest import margin_line
 from stellwerk.functions.html import html_to_text
 from stellwerk.functions.occupation import occupation_code, stated
@@ -30,6 +32,7 @@ from stellwerk.functions.status import (
 )
 from stellwerk.functions.terms import candidate_words, is_unknown_term
 from stellwerk.functions.workmodel import from_percent, from_text, work_model
+from stellwerk.operators import rows
 from stellwerk.operators.places import located
 
 X = F.col("x")
@@ -147,6 +150,28 @@ def test_benefits(over):
     assert dict(zip(given, over(tags, list(given)))) == given
 
 
+def test_a_search_by_literals_finds_what_the_whole_pattern_finds(over):
+    """Every letter that a caseless pattern may take for another one stands in for it."""
+    entries = [e for e in (*BENEFITS, *SKILLS) if not e.plain_parts and not e.whole_words]
+    odd = ("/\\p{L}tv", r"(?-i)Bx|cy", r"(a|b)\1x", r"[a[b]|c]d")
+    catalog = Catalog((*entries, *(Entry("odd", p, p) for p in odd)))
+    words = ["prämie", "praemie", "13. monatsgehalt", "bav", "tv-l", "tvöd", "30 tage urlaub", "vwl", "bonus", "ci/cd", "Bx", "bx", "cy", "aax", "cd", "ötv"]
+    swaps = {"s": "sSſ", "i": "iIıİ", "k": "kK\u212a", "ä": "äÄ", "ö": "öÖ", "u": "uU", "t": "tT", "a": "aAåÅ"}
+    texts = [w.replace(c, x) for w in words for c, xs in swaps.items() for x in xs] + [x + "nach tarif" for x in ("", "ſ", " ")] + ["ßonus", "kein", "", None]
+    whole = F.array_compact(F.array(*[F.when(F.coalesce(X, F.lit("")).rlike("(?iU)" + e.pattern), F.lit(e.label)) for e in catalog]))
+    assert over(labels_in(X, catalog), texts) == over(whole, texts)
+
+
+def test_patterns_are_tried_where_a_literal_of_theirs_occurs():
+    """Only what is left of a pattern runs as a regular expression, each behind a literal."""
+    for entry in BENEFITS:
+        if not entry.plain_parts:
+            assert all(literal for literal, _ in entry.searches)
+            assert sum(1 for _, pattern in entry.searches if pattern) <= 8
+    assert dict(BENEFITS.entry("Altersvorsorge").searches) == {"altersvorsorge": "", "bav": r"\bbav\b"}
+    assert Entry("c", "l", r"x\p{L}|y").searches == (("", r"x\p{L}|y"),)
+
+
 def test_skills_in_catalog_order(over):
     labels = F.array_join(labels_in(X, SKILLS), ",")
     given = {
@@ -371,3 +396,34 @@ def test_references_equal_the_standard_rule(over):
     texts += [f"x&{draw.choice(names)}{draw.choice(['', ';', 'y', ' '])}&#{draw.randrange(70000)}{draw.choice(['', ';'])}" for _ in range(300)]
     assert over(decoded(F.col("x")), texts) == [html.unescape(t) for t in texts]
     assert over(decoded(F.col("x")), [None]) == [None]
+
+
+def test_the_join_by_place_moves_no_text(spark):
+    """Many rows share a place: what is drawn from their texts is drawn before."""
+    given = [(f"r{i}", "Adzuna", "Entwickler", "Firma", [(("20095", place), None, None, None)], km, f"Kantine und Jobrad {i}") for i, (place, km) in enumerate([("Hamburg", None), ("Hamburg", 3.0), ("Bremen", None), (None, None), ("Nirgends", None)])]
+    shape = ("referenznummer STRING, quelle STRING, stellenangebotsTitel STRING, firma STRING, stellenlokationen ARRAY<STRUCT<adresse: STRUCT<plz: STRING, ort: STRING>,"
+             " entfernung: DOUBLE, distanz: DOUBLE, entfernungKm: DOUBLE>>, entfernung DOUBLE, stellenangebotsBeschreibung STRING")
+    ads = spark.createDataFrame(given, shape)
+    have = set(ads.columns)
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema.AD) if f.name not in have]
+    archive = ads.select("*", *rest, F.lit(dt.date(2024, 1, 2)).alias("tag"))
+    entries = ads.select("referenznummer", F.lit("").alias("titel"), F.lit(fixed.FOUND).alias("status"), F.lit(1704153600).alias("erfasst_am"))
+    detail = spark.createDataFrame([], schema.DETAIL)
+    cities = spark.createDataFrame([(0, "hamburg", 53.55, 9.99), (1, "bremen", 53.08, 8.8)], schema.CITIES)
+    out = rows.tracker_rows(rows.gathered(entries, archive, detail), cities, F.lit(dt.date(2024, 1, 3)))
+    assert out.columns == [
+        "Referenz", "Firma", "Position", "Link zur Ausschreibung", "Standort", "Homeoffice-Modell", "Gehalt", "Benefits",
+        "Kontakt", "Status", "Quelle", "Alter (Tage)", "Entfernung (km)",
+    ]
+    found = {r["Referenz"]: (r["Benefits"], r["Entfernung (km)"]) for r in out.collect()}
+    food = "Dienstrad, Mittagstisch"
+    far = found["r2"][1]
+    assert 90 < far < 100 and found == {"r0": (food, 0.0), "r1": (food, 3.0), "r2": (food, far), "r3": (food, None), "r4": (food, None)}
+
+    def joins(plan):
+        kids = [plan.children().apply(i) for i in range(plan.children().size())]
+        here = [kids[0].output().mkString(" ")] if plan.nodeName() == "Join" and "_place" in plan.condition().toString() else []
+        return here + [x for kid in kids for x in joins(kid)]
+
+    moved = [x for x in joins(out._jdf.queryExecution().optimizedPlan()) if "Referenz" in x or "referenznummer" in x]
+    assert moved and not any("Beschreibung" in x or "text#" in x for x in moved)
